@@ -104,15 +104,15 @@ def scan_cutoff_page(
 def stage_filter(matches: DataFrame, stats: DataFrame, key: str = "match_id") -> DataFrame:
     """Drop unusable statuses; a removed event stays only if it has statistics.
 
-    Only the removed events take part in the existence test: the statistics are
-    first cut down to their few ids, and all other rows pass without a join.
+    An event without a description is treated like a removed one.  Only these
+    few take part in the existence test: the statistics are first cut down to
+    their ids, and all other rows pass without a join.
     """
     usable = matches.where(~F.col("status_type").isin(NOT_STAGED))
-    removed = usable.where(F.col("status_description") == REMOVED)
-    with_stats = stats.select(key).join(removed.select(key), key, "left_semi").distinct()
-    return usable.where(F.col("status_description") != REMOVED).unionByName(
-        removed.join(with_stats, key, "left_semi")
-    )
+    described = F.col("status_description") != REMOVED
+    in_doubt = usable.where(~F.coalesce(described, F.lit(False)))
+    with_stats = stats.select(key).join(in_doubt.select(key), key, "left_semi").distinct()
+    return usable.where(described).unionByName(in_doubt.join(with_stats, key, "left_semi"))
 
 
 def finished_filter(df: DataFrame) -> DataFrame:
