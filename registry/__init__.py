@@ -49,4 +49,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 
 def load_all() -> None:
-    from . import marts  # noqa: F401
+    from . import documents, filters, marts, scalars  # noqa: F401

@@ -130,7 +130,7 @@ left join (select * from team_match where period = 'ALL') o on o.match_id = s.ma
 """
 
 UPCOMING = """
-select m.match_id, match_slug, custom_id, start_timestamp, status_code, status_type, status_description,
+select m.match_id, cust_id, match_slug, custom_id, start_timestamp, status_code, status_type, status_description,
   home_team_id, case when m.match_id % 23 <> 0 then home_team_name end as home_team_name,
   away_team_id, away_team_name, tournament_id, tournament_name, season_id, season_name,
   case when m.match_id % 17 <> 0 then season_year end as season_year,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +92,15 @@ def typed(c: Column, dtype: str, strict: bool = True) -> Column:
     return convert(dtype)
 
 
+def parse_once(df: DataFrame, json_col: str, schema: str, out: str, *keep: str) -> DataFrame:
+    """``keep`` columns and the parsed document as struct ``out``.
+
+    The one-element explode keeps the optimizer from copying the parse into
+    filters on its fields, which would read every document twice.
+    """
+    return df.select(*keep, F.explode(F.array(F.from_json(json_col, schema))).alias(out))
+
+
 def project(df: DataFrame, doc: str, columns: Sequence[tuple[str, str, str]], strict: bool, *extra: Column | str) -> DataFrame:
     fields = [typed(F.col(f"{doc}.{path}"), dtype, strict).alias(name) for name, path, dtype in columns]
     return df.select(*fields, *extra)
@@ -99,8 +109,7 @@ def project(df: DataFrame, doc: str, columns: Sequence[tuple[str, str, str]], st
 def flatten_match_json(raw: DataFrame, json_col: str = "data", strict: bool = True) -> DataFrame:
     """One typed row per match document; a document is parsed once."""
     docs = raw.where(F.col(json_col).isNotNull())
-    parsed = docs.select(F.from_json(json_col, schemas.MATCH).alias("doc"))
-    return project(parsed, "doc", MATCH_COLUMNS, strict)
+    return project(parse_once(docs, json_col, schemas.MATCH, "doc"), "doc", MATCH_COLUMNS, strict)
 
 
 def stat_periods(c: Column) -> Column:
@@ -196,7 +205,7 @@ def with_group_counts(flat: DataFrame) -> DataFrame:
 
 def unnest_upcoming(raw: DataFrame, json_col: str = "data", strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """One row per event of each fixture-list document, with the list's metadata."""
-    doc = raw.select(*keep, F.from_json(json_col, schemas.UPCOMING).alias("doc"))
+    doc = parse_once(raw, json_col, schemas.UPCOMING, "doc", *keep)
     meta = doc.select(
         *keep,
         typed(F.col("doc.metadata.tournament_id"), "int", strict).alias("tournament_id_metadata"),
@@ -247,20 +256,19 @@ SEASON_REQUIRED = {"id": "bigint", "name": "string", "year": "string"}
 MATCH_OPTIONAL = {"startTimestamp": "bigint"}
 
 
-def validation_errors(json_col: str, required: Mapping[str, str], optional: Mapping[str, str] | None = None) -> Column:
-    """``array<string>`` with one entry per broken field, in field order."""
-    doc = F.try_parse_json(json_col)
+def validation_errors(doc: Column, required: Mapping[str, str], optional: Mapping[str, str] | None = None) -> Column:
+    """``array<string>`` with one entry per broken field of the parsed ``doc``, in field order."""
 
     def problem(name: str, kind: str, must: bool) -> Column:
-        value = F.try_variant_get(doc, f"$.{name}", "string")
+        value = doc[name]
         if kind == "object":
-            # An object prints as JSON text that starts with a brace.
+            # A nested object arrives as JSON text.
             wrong = ~value.startswith("{")
         elif kind == "string":
             wrong = F.lit(False)
         else:
             wrong = value.try_cast(kind).isNull()
-        absent = F.when(value.isNull(), F.lit(f"{name}: missing")) if must else F.when(value.isNull(), F.lit(None))
+        absent = F.when(value.isNull(), F.lit(f"{name}: missing" if must else None))
         return absent.when(wrong, F.lit(f"{name}: not {'an object' if kind == 'object' else 'a ' + kind}"))
 
     checks = [problem(n, k, True) for n, k in required.items()]
@@ -268,18 +276,30 @@ def validation_errors(json_col: str, required: Mapping[str, str], optional: Mapp
     return F.array_compact(F.array(*checks))
 
 
+def with_errors(
+    df: DataFrame, json_col: str, required: Mapping[str, str], optional: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Add ``errors``; only the checked fields are parsed, each document once."""
+    fields = ",".join(f"`{name}`:string" for name in [*required, *(optional or {})])
+    parsed = parse_once(df, json_col, f"struct<{fields}>", "_doc", *df.columns)
+    return parsed.withColumn("errors", validation_errors(F.col("_doc"), required, optional)).drop("_doc")
+
+
 def validate_records(
     df: DataFrame, json_col: str, required: Mapping[str, str], optional: Mapping[str, str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with their ``errors``)."""
-    checked = df.withColumn("errors", validation_errors(json_col, required, optional))
-    valid = checked.where(F.size("errors") == 0).drop("errors")
-    return valid, checked.where(F.size("errors") > 0)
+    checked = with_errors(df, json_col, required, optional)
+    return checked.where(F.size("errors") == 0).drop("errors"), checked.where(F.size("errors") > 0)
 
 
-def validation_summary(df: DataFrame, json_col: str, required: Mapping[str, str], optional: Mapping[str, str] | None = None) -> DataFrame:
-    ok = F.size(validation_errors(json_col, required, optional)) == 0
-    counted = df.agg(F.count_if(ok).alias("total_count"), F.count_if(~ok).alias("skipped_count"))
+def validation_summary(
+    df: DataFrame, json_col: str, required: Mapping[str, str], optional: Mapping[str, str] | None = None
+) -> DataFrame:
+    ok = F.size("errors") == 0
+    counted = with_errors(df, json_col, required, optional).agg(
+        F.count_if(ok).alias("total_count"), F.count_if(~ok).alias("skipped_count")
+    )
     status = F.when(F.col("total_count") > 0, "success").otherwise("failed")
     return counted.withColumn("validation_status", status)
 
@@ -290,28 +310,19 @@ def json_shape_profile(df: DataFrame, json_col: str, depth: int = 3) -> DataFram
     Objects are opened level by level down to ``depth``; sizes count the keys of
     an object or the items of an array.
     """
+    if depth < 1:
+        raise ValueError("depth must be positive")
+    members = "map<string,variant>"
     level = df.select(F.lit("$").alias("path"), F.try_parse_json(json_col).alias("v"))
-    out: DataFrame | None = None
+    levels = []
     for _ in range(depth):
-        opened = level.lateralJoin(
-            _variant_entries(F.col("v").outer())
-        ).select(F.concat("path", F.lit("."), "key").alias("path"), F.col("value").alias("v"))
-        out = opened if out is None else out.unionByName(opened)
-        level = opened
-    if out is None:
-        raise ValueError("depth must be positive")
-    kind = F.regexp_extract(F.schema_of_variant("v"), "^([A-Z]+)", 1)
-    size = F.coalesce(
-        F.size(F.try_variant_get("v", "$", "map<string,variant>")),
-        F.size(F.try_variant_get("v", "$", "array<variant>")),
-    )
-    return out.select("path", kind.alias("type"), size.alias("n")).groupBy("path", "type").agg(
+        opened = level.select("path", F.explode(F.try_variant_get("v", "$", members)))
+        level = opened.select(F.concat("path", F.lit("."), "key").alias("path"), F.col("value").alias("v"))
+        size = F.coalesce(
+            F.size(F.try_variant_get("v", "$", members)), F.size(F.try_variant_get("v", "$", "array<variant>"))
+        )
+        kind = F.regexp_extract(F.schema_of_variant("v"), "^([A-Z]+)", 1)
+        levels.append(level.select("path", kind.alias("type"), size.alias("n")))
+    return reduce(DataFrame.unionByName, levels).groupBy("path", "type").agg(
         F.count(F.lit(1)).alias("rows"), F.max("n").alias("max_size")
     )
-
-
-def _variant_entries(c: Column) -> DataFrame:
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    return spark.tvf.variant_explode(c).select("key", "value").where(F.col("key").isNotNull())
