@@ -49,4 +49,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 
 def load_all() -> None:
-    from . import documents, filters, marts, scalars  # noqa: F401
+    from . import aggregates, checks, documents, files, filters, loads, marts, relational, reports, scalars  # noqa: F401

@@ -160,7 +160,7 @@ def _(i: Inputs) -> DataFrame:
     ),
 )
 def _(i: Inputs) -> DataFrame:
-    return silver.fact_season_team(i.team_match([FIXED[0], *FIXED[1:]]), i.staged)
+    return silver.fact_season_team(i.team_match([FIXED[0]]), i.staged)
 
 
 # --- team marts --------------------------------------------------------------

@@ -70,7 +70,7 @@ def appearances(fact_match: DataFrame, stats: DataFrame, metrics: Sequence[str]
     moves one row per match.  A match without statistics keeps NULLs.
     """
     columns = name_columns(metrics)
-    wide = match_stats(stats, columns, period="ALL")
+    wide = match_stats(stats, columns, period="ALL", listed_only=True)
     played = fact_match.where(F.col("status_type") == "finished").join(wide, "match_id", "left")
 
     def side(own: str, other: str, win: int, loss: int) -> dict[str, object]:

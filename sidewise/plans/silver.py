@@ -179,14 +179,21 @@ def side_values(stats: DataFrame) -> DataFrame:
     )
 
 
-def match_stats(stats: DataFrame, columns: Sequence[tuple[str, str]], period: str | None = None) -> DataFrame:
-    """Statistics pivoted at match grain, ``home_*`` and ``away_*`` columns side by side."""
+def match_stats(
+    stats: DataFrame, columns: Sequence[tuple[str, str]], period: str | None = None, listed_only: bool = False
+) -> DataFrame:
+    """Statistics pivoted at match grain, ``home_*`` and ``away_*`` columns side by side.
+
+    ``listed_only`` reads just the listed metrics, so a match that has none of
+    them gives no row; use it where the result is left-joined.
+    """
     values = side_values(stats)
     keys = ["match_id", "period"]
     if period is not None:
         values, keys = values.where(F.col("period") == period), ["match_id"]
-    wanted = values.where(F.col("metric").isin([raw for raw, _ in columns]))
-    return agg_pivot(wanted, keys, "metric", {"home_": "home_value", "away_": "away_value"}, columns)
+    if listed_only:
+        values = values.where(F.col("metric").isin([raw for raw, _ in columns]))
+    return agg_pivot(values, keys, "metric", {"home_": "home_value", "away_": "away_value"}, columns)
 
 
 def fact_team_match(stats: DataFrame, staged: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:

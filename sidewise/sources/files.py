@@ -16,33 +16,36 @@ PARTITION_COLUMNS = ["tournament_id", "season_id", "date"]
 CORRUPT = "_corrupt_record"
 
 
-def scan_ndjson(spark: SparkSession, root: str, schema: str, glob: str = "*") -> DataFrame:
-    """Records of all line-delimited files below ``root``.
+def scan_ndjson_text(spark: SparkSession, root: str, layout: str = "", glob: str = "*") -> DataFrame:
+    """Non-blank lines of all files below ``root`` as ``data``, with their file.
 
-    The schema is given, so nothing is read for inference.  Blank lines vanish;
-    a line that is no JSON comes back with only ``_corrupt_record`` filled.
+    ``layout`` declares the partition columns of the folders, such as
+    ``tournament_id int, date string``; their filters prune folders.
     """
-    return (
-        spark.read.schema(f"{schema}, {CORRUPT} string")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "false")
-        .json(root)
+    schema = "value string" + (f", {layout}" if layout else "")
+    lines = spark.read.schema(schema).option("pathGlobFilter", glob).text(root)
+    partitions = [c for c in lines.columns if c != "value"]
+    return lines.where(F.trim("value") != "").select(
+        F.col("value").alias("data"), F.col("_metadata.file_path").alias("file_path"), *partitions
     )
 
 
-def well_formed(df: DataFrame) -> DataFrame:
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def scan_ndjson(spark: SparkSession, root: str, schema: str, layout: str = "", glob: str = "*") -> DataFrame:
+    """Records of all line-delimited files below ``root``, typed by ``schema``.
 
+    A line that does not fit comes back with only ``_corrupt_record`` filled.
+    Lines are parsed as a whole whatever columns are used later, so whether a
+    line counts as corrupt does not depend on the query.
+    """
+    lines = scan_ndjson_text(spark, root, layout, glob)
+    partitions = [c for c in lines.columns if c not in ("data", "file_path")]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    record = F.from_json("data", f"{schema}, {CORRUPT} string", options)
+    return lines.select(*partitions, F.inline(F.array(record)))
 
-def scan_ndjson_text(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Raw lines as ``data`` with their file, for documents kept as text."""
-    lines = spark.read.option("pathGlobFilter", glob).text(root)
-    return lines.where(F.trim("value") != "").select(
-        F.col("value").alias("data"), F.col("_metadata.file_path").alias("file_path"),
-        *[c for c in lines.columns if c != "value"],
-    )
+
+def well_formed(df: DataFrame) -> DataFrame:
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def scan_json_documents(spark: SparkSession, root: str, key_pattern: str = r"match_(\d+)\.json", glob: str = "*.json") -> DataFrame:
@@ -148,11 +151,13 @@ def partition_stats(files: DataFrame, manifests: DataFrame, by: Sequence[str] =
     )
 
 
-def data_files(df: DataFrame, by: Sequence[str] = PARTITION_COLUMNS) -> DataFrame:
-    """One row per file behind a file-based DataFrame, with its size."""
-    return df.select(
-        *by, F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")
-    ).distinct()
+def data_files(spark: SparkSession, root: str, layout: str, glob: str = "*") -> DataFrame:
+    """One row per data file below ``root`` with its size; contents are not read."""
+    files = spark.read.format("binaryFile").schema(
+        f"path string, modificationTime timestamp, length bigint, content binary, {layout}"
+    ).option("pathGlobFilter", glob).load(root)
+    partitions = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
+    return files.select(*partitions, F.col("path").alias("file_path"), F.col("length").alias("file_size"))
 
 
 def export_csv_all(spark: SparkSession, tables: Sequence[str], out_dir: str) -> DataFrame:

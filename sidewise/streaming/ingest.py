@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.joins import missing_from
@@ -36,7 +37,7 @@ def stream_upsert(
     def store(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         fresh = dedupe_latest(batch, keys, [F.asc(c) for c in order_by])
-        schema = batch.schema.add(EPOCH_COLUMN, "bigint")
+        schema = T.StructType([*batch.schema.fields, T.StructField(EPOCH_COLUMN, T.LongType())])
         if epoch > 0:
             known = spark.read.schema(schema).parquet(target).where(F.col(EPOCH_COLUMN) < epoch)
             fresh = missing_from(fresh, known, keys)
