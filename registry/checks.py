@@ -113,12 +113,12 @@ def _(i: Inputs) -> DataFrame:
     return Q.orphans(i.stats, i.staged, "match_id", ["match_id", "period"])
 
 
-# Rows of matches divisible by 50 appear twice.
-_TWICE = "(select * from team_match union all select * from team_match where match_id % 50 = 0)"
+# Rows of team 3 appear twice.
+_TWICE = "(select * from team_match union all select * from team_match where team_id = 3)"
 
 
 def _twice(i: Inputs) -> DataFrame:
-    copies = F.when(F.col("match_id") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    copies = F.when(F.col("team_id") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return i.team_match(A.XG_METRICS).withColumn("copy", F.explode(copies))
 
 
@@ -168,12 +168,11 @@ def _(i: Inputs) -> DataFrame:
     return found.withColumn("stat_value", F.round(F.col("stat_value").cast("decimal(28,10)"), 6))
 
 
-@query("dq_two_teams", sql("select match_id, 1::bigint as team_count from team_match where period = 'ALL' and match_id % 30 = 0 group by match_id"))
+@query("dq_two_teams", sql("select t.match_id, 1::bigint as team_count from team_match t join staged s on s.match_id = t.match_id where period = 'ALL' and team_id = home_team_id and away_team_id = 3"))
 def _(i: Inputs) -> DataFrame:
-    """Matches divisible by 30 lose one side."""
+    """Team 3 loses its away rows."""
     rows = i.team_match(A.XG_METRICS).join(i.staged.select("match_id", "home_team_id"), "match_id")
-    planted = rows.where((F.col("match_id") % 30 != 0) | (F.col("team_id") == F.col("home_team_id")))
-    return Q.two_teams(planted)
+    return Q.two_teams(rows.where((F.col("team_id") != 3) | (F.col("team_id") == F.col("home_team_id"))))
 
 
 @query(

@@ -16,6 +16,7 @@ from sidewise.functions.measures import STAT_TYPE
 from sidewise.operators.documents import compare_sides
 from sidewise.operators.pivot import name_columns
 from sidewise.plans import appearances, gold, scorer, silver
+from sidewise.session import scratch_path
 
 METRICS = appearances.ALL_METRICS
 GROUPS = ["Attack", "Defending", "Duels", "Goalkeeping", "Match overview", "Passes", "Shots"]
@@ -28,8 +29,35 @@ def pick(names: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
 
 
+# Written relations of this process: (application, data directory, name) -> path.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written(build):
+    """A relation kept as a parquet table in the shared folder of the session.
+
+    These are the raw and bronze tables that all models read.  The first use
+    writes the table, later uses of the same data directory read it.
+    """
+    name = build.__name__
+
+    def relation(self: Inputs) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _WRITTEN:
+            path = scratch_path(self.spark, name)
+            build(self).write.parquet(path)
+            _WRITTEN[key] = path
+        return self.spark.read.parquet(_WRITTEN[key])
+
+    relation.__doc__ = build.__doc__
+    return property(relation)
+
+
+WRITTEN_RELATIONS = ["matches", "stats", "match_documents", "stats_documents", "upcoming_documents"]
+
+
 class Inputs:
-    """Lazy relations over one data directory."""
+    """Relations over one data directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -38,7 +66,7 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    @cached_property
+    @written
     def matches(self) -> DataFrame:
         """Typed matches of all statuses."""
         orders, customer = self.table("orders"), self.table("customer")
@@ -93,7 +121,7 @@ class Inputs:
             "country_name", F.col("tournament_name")
         )
 
-    @cached_property
+    @written
     def stats(self) -> DataFrame:
         """Long statistics of three periods, with the derived comparison columns."""
         line = self.table("lineitem")
@@ -155,7 +183,7 @@ class Inputs:
 
     # --- raw documents -----------------------------------------------------
 
-    @cached_property
+    @written
     def match_documents(self) -> DataFrame:
         """Matches as JSON text in ``data``, with the ids and load columns of the raw table."""
         c = F.col
@@ -209,7 +237,7 @@ class Inputs:
 
         return self.match_documents.select("match_id", F.from_json("data", schemas.MATCH).alias("doc")).select("doc.*")
 
-    @cached_property
+    @written
     def stats_documents(self) -> DataFrame:
         """One statistics document per match; every other one in the wrapped envelope.
 
@@ -235,7 +263,7 @@ class Inputs:
             F.when(c("match_id") % 2 == 0, wrapped).otherwise(bare).alias("data"),
         )
 
-    @cached_property
+    @written
     def upcoming_documents(self) -> DataFrame:
         """Fixture lists: not-started matches per customer, extracted on two days.
 

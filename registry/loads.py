@@ -61,22 +61,21 @@ def _(i: Inputs) -> DataFrame:
 
 @query(
     "merge_upsert_partitions",
-    """select (user_id % 20)::int as bucket, user_id, max(case when event_type = 'click' then 'new' else 'old' end) as state, count(*) as n from (
-      select user_id, event_type from events where ts < '2024-01-06' qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1
-    ) where user_id % 4 <> 1 group by 1, 2 union all
-    select (user_id % 20)::int, user_id, 'upserted', 1 from events where user_id % 4 = 1 group by user_id""",
+    """with u as (select distinct user_id from events where ts >= '2024-01-30')
+    select (user_id % 20)::int as bucket, user_id, case when event_type = 'click' then 'new' else 'old' end as state from events where ts < '2024-01-06'
+      and user_id not in (from u) qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1
+    union all select (user_id % 20)::int, user_id, 'upserted' from u""",
 )
 def _(i: Inputs) -> DataFrame:
     """Written as a partitioned table, then upserted in the touched partitions only."""
     path = scratch_path(i.spark, "upsert")
     bucket = (F.col("user_id") % 20).cast("int").alias("bucket")
     state = F.when(F.col("event_type") == "click", "new").otherwise("old").alias("state")
-    one = F.lit(1).cast("bigint").alias("n")
-    base = _loaded(i).select("user_id", state, one, bucket)
+    base = _loaded(i).select("user_id", state, bucket)
     base.write.partitionBy("bucket").parquet(path)
-    batch = i.events.where(F.col("user_id") % 4 == 1).select("user_id", F.lit("upserted").alias("state"), one, bucket)
+    batch = i.events.where("ts >= timestamp_ntz'2024-01-30'").select("user_id", F.lit("upserted").alias("state"), bucket)
     L.upsert_partitions(i.spark, path, batch, ["user_id"], ["bucket"], [F.asc("state")])
-    return i.spark.read.schema(base.schema).parquet(path).select("bucket", "user_id", "state", "n")
+    return i.spark.read.schema(base.schema).parquet(path).select("bucket", "user_id", "state")
 
 
 @query(

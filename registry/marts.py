@@ -7,9 +7,9 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sidewise.operators.pivot import name_columns
 from sidewise.plans import appearances as A
 from sidewise.plans import bronze, gold, scorer, silver
+from sidewise.session import scratch_path
 
 from . import query
 from .duck import AS_OF, mean, mean0, rnd, share, sql, stat
@@ -685,8 +685,8 @@ def _(i: Inputs) -> DataFrame:
     return bronze.full_matches_data(i.match_documents)
 
 
-# Loaded so far: everything before 1999, and the even matches after it.
-_LOADED = "(season_id < 1999 or (match_id % 2 = 0 and season_id < 2000))"
+# Loaded so far: everything before 1999, and the finished matches of that year.
+_LOADED = "(season_id < 1999 or (status_type = 'finished' and season_id < 2000))"
 
 
 @query(
@@ -722,12 +722,13 @@ FULL_STATS = f"""
 
 @query("full_stats_data", sql(FULL_STATS))
 def _(i: Inputs) -> DataFrame:
-    return bronze.full_stats_data(i.stats_documents, i.matches).drop("home_value_text", "away_value_text")
+    rows = bronze.full_stats_data(i.stats_documents, i.matches, stage_path=scratch_path(i.spark, "stage"))
+    return rows.drop("home_value_text", "away_value_text")
 
 
-@query("full_stats_data_by_key", sql(f"select * from ({FULL_STATS}) where match_id % 3 <> 0"))
+@query("full_stats_data_by_key", sql(f"select * from ({FULL_STATS}) where ifnull(season_id, 9999) >= 1999"))
 def _(i: Inputs) -> DataFrame:
-    loaded = i.stats.where("match_id % 3 = 0").select("match_id")
+    loaded = i.matches.where("season_id < 1999").select("match_id")
     return bronze.full_stats_data(i.stats_documents, i.matches, loaded).drop("home_value_text", "away_value_text")
 
 

@@ -268,11 +268,11 @@ def _(i: Inputs) -> DataFrame:
     sql(
         f"""select coverage_type, count(*) as matches_count, {rnd("100 * count(*)", "sum(count(*)) over ()", 2)} as percentage
         from (select case when count(distinct period) = 3 then 'Complete (ALL + 1ST + 2ND)' when max(period) = 'ALL' and min(period) = 'ALL' then 'Only ALL period' else 'Partial' end as coverage_type
-          from stats where match_id % 7 <> 0 or period = 'ALL' group by match_id) group by coverage_type"""
+          from stats where group_name = 'Shots' or period = 'ALL' group by match_id) group by coverage_type"""
     ),
 )
 def _(i: Inputs) -> DataFrame:
-    return R.period_coverage_type(i.stats.where("match_id % 7 <> 0 or period = 'ALL'"))
+    return R.period_coverage_type(i.stats.where("group_name = 'Shots' or period = 'ALL'"))
 
 
 @query(
@@ -300,13 +300,13 @@ def _(i: Inputs) -> DataFrame:
 @query(
     "report_id_overlap",
     """select 'nation_key' as id_column, count(*) filter (a and not b) as only_first, count(*) filter (b and not a) as only_second, count(*) filter (a and b) as common
-      from (select n_nationkey in (select c_nationkey from customer where c_custkey % 40 = 0) as a, n_nationkey in (select s_nationkey from supplier) as b from nation)
+      from (select n_nationkey in (select c_nationkey from customer where c_mktsegment = 'BUILDING') as a, n_nationkey in (select s_nationkey from supplier) as b from nation)
     union all select 'id', count(*) filter (a and not b), count(*) filter (b and not a), count(*) filter (a and b)
       from (select coalesce(c_custkey, s_suppkey) as id, c_custkey is not null as a, s_suppkey is not null as b
-        from (select c_custkey from customer where c_custkey % 40 = 0) full join supplier on c_custkey = s_suppkey)""",
+        from (select c_custkey from customer where c_mktsegment = 'BUILDING') full join supplier on c_custkey = s_suppkey)""",
 )
 def _(i: Inputs) -> DataFrame:
-    customers = i.table("customer").where(F.col("c_custkey") % 40 == 0).select(F.col("c_nationkey").alias("nation_key"), F.col("c_custkey").alias("id"))
+    customers = i.table("customer").where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_nationkey").alias("nation_key"), F.col("c_custkey").alias("id"))
     suppliers = i.table("supplier").select(F.col("s_nationkey").alias("nation_key"), F.col("s_suppkey").alias("id"))
     return R.id_overlap(customers, suppliers, ["nation_key", "id"])
 

@@ -6,12 +6,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.cleaning import advantage, parse_extracted_at, side_share
 from ..functions.measures import STAT_TYPE
-from .ranking import numbered
 
 EPOCH = "epoch"
 
@@ -165,42 +165,33 @@ def compare_sides(df: DataFrame) -> DataFrame:
 def with_group_counts(flat: DataFrame) -> DataFrame:
     """Order and size inside the group, and counts per match and per period.
 
-    Match and period counts come from one pre-aggregation at group grain, whose
-    rows are few, and are joined back; the numbering splits large groups.
+    One pre-aggregation at the grain of (group, first letters of the key) feeds
+    every count through windows over that small relation, and its offsets let
+    the numbering run inside a block, so a large group is spread over tasks.
+    ``flat`` is read twice: pass a written table rather than a parse.
     """
-    group_keys = ["match_id", "period", "group_name"]
-    per_group = flat.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("n"))
-    per_period = per_group.groupBy("match_id", "period").agg(
-        F.sum("n").alias("statistics_in_period"), F.collect_set("group_name").alias("names")
+    group = ["match_id", "period", "group_name"]
+    blocked = flat.withColumn("_block", F.substring("statistic_key", 1, 3))
+    blocks = blocked.groupBy(*group, "_block").agg(F.count(F.lit(1)).alias("n"))
+    in_group, in_match = W.partitionBy(*group), W.partitionBy("match_id")
+    before = in_group.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    counts = blocks.select(
+        *group,
+        "_block",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"),
+        F.sum("n").over(in_group).alias("stats_count_in_group"),
+        F.sum("n").over(W.partitionBy("match_id", "period")).alias("statistics_in_period"),
+        F.sum("n").over(in_match).alias("total_statistics_count"),
+        # Period and group names are short labels, a few per match.
+        F.size(F.collect_set("period").over(in_match)).cast("bigint").alias("periods_count"),
+        F.size(F.collect_set("group_name").over(in_match)).cast("bigint").alias("groups_count"),
     )
-    # Group and period names are short labels, a few per match.
-    per_match = per_period.groupBy("match_id").agg(
-        F.sum("statistics_in_period").alias("total_statistics_count"),
-        F.count("period").alias("periods_count"),
-        F.array_distinct(F.flatten(F.collect_list("names"))).alias("all_names"),
-        F.collect_list(F.struct("period", "statistics_in_period")).alias("periods"),
-    )
-    counts = per_match.select(
-        "match_id",
-        "total_statistics_count",
-        "periods_count",
-        F.size("all_names").cast("bigint").alias("groups_count"),
-        F.inline("periods"),
-    )
-    ordered = numbered(
-        flat,
-        group_keys,
-        "statistic_key",
-        F.substring("statistic_key", 1, 3),
-        ("statistic_name",),
-        "stat_order_in_group",
-        "stats_count_in_group",
-    )
-    on = (ordered["match_id"] == counts["match_id"]) & ordered["period"].eqNullSafe(counts["period"])
-    joined = ordered.join(counts, on, "left")
-    added = ["total_statistics_count", "periods_count", "groups_count"]
-    in_period = F.when(ordered["period"].isNotNull(), counts["statistics_in_period"])
-    return joined.select(ordered["*"], *added, in_period.alias("statistics_in_period"))
+    on = [blocked[c].eqNullSafe(counts[c]) for c in (*group, "_block")]
+    added = [c for c in counts.columns if c not in (*group, "_block")]
+    joined = blocked.join(counts, on).select(blocked["*"], *added)
+    inside = W.partitionBy(*group, "_block").orderBy("statistic_key", "statistic_name")
+    order = F.row_number().over(inside) + F.col("_offset")
+    return joined.withColumn("stat_order_in_group", order).drop("_block", "_offset")
 
 
 def unnest_upcoming(raw: DataFrame, json_col: str = "data", strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:

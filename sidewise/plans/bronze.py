@@ -32,12 +32,22 @@ def season_of_match(matches: DataFrame) -> DataFrame:
     return matches.groupBy("match_id").agg(F.min("season_id").alias("season_id"))
 
 
-def full_stats_data(raw_stats: DataFrame, matches: DataFrame, loaded: DataFrame | None = None, strict: bool = True) -> DataFrame:
+def full_stats_data(
+    raw_stats: DataFrame,
+    matches: DataFrame,
+    loaded: DataFrame | None = None,
+    strict: bool = True,
+    stage_path: str | None = None,
+) -> DataFrame:
     """One row per (match, period, group, statistic) with comparisons and counts.
 
     The document text is not carried along: exploded rows would repeat it a
-    hundred times.  ``match_id`` leads back to the raw row.
+    hundred times; ``match_id`` leads back to the raw row.  With ``stage_path``
+    the exploded rows are written there once, so no document is parsed twice.
     """
     docs = raw_stats if loaded is None else missing_from(raw_stats, loaded, ["match_id"])
     flat = compare_sides(explode_stats(docs, keep=["match_id", "tournament_id"], strict=strict))
+    if stage_path is not None:
+        flat.write.mode("overwrite").parquet(stage_path)
+        flat = raw_stats.sparkSession.read.schema(flat.schema).parquet(stage_path)
     return with_group_counts(flat).join(season_of_match(matches), "match_id", "left")
