@@ -66,13 +66,13 @@ def _planted(df: DataFrame, column: str) -> DataFrame:
     ),
 )
 def _(i: Inputs) -> DataFrame:
-    attack = gold.mart_team_attack(i.sides(A.ATTACK_METRICS))
+    attack = gold.mart_team_attack(i.fact, i.totals(A.ATTACK_METRICS))
     return Q.goal_aggregation(_planted(attack, "total_goals"), i.fact)
 
 
 @query("dq_goal_aggregation_clean", sql("select count(*) as teams, 0::bigint as violations from (select distinct season_id, team_id from sides)"))
 def _(i: Inputs) -> DataFrame:
-    attack = gold.mart_team_attack(i.sides(A.ATTACK_METRICS))
+    attack = gold.mart_team_attack(i.fact, i.totals(A.ATTACK_METRICS))
     wrong = Q.goal_aggregation(attack, i.fact).agg(F.count(F.lit(1)).alias("violations"))
     return attack.agg(F.count(F.lit(1)).alias("teams")).withColumn("violations", wrong.scalar())
 

@@ -175,6 +175,9 @@ class Inputs:
     def sides(self, metrics: list[str] = METRICS) -> DataFrame:
         return appearances.appearances(self.fact, self.stats, metrics)
 
+    def totals(self, metrics: list[str] = METRICS) -> DataFrame:
+        return appearances.season_totals(self.fact, self.stats, metrics)
+
     def form(self, codes: dict[str, int] = gold.STANDARD_CODES) -> DataFrame:
         return gold.mart_team_form(self.fact, codes)
 

@@ -298,28 +298,28 @@ def _(i: Inputs) -> DataFrame:
 
 @query("mart_team_attack", sql(TEAM_MARTS["team_attack"]))
 def _(i: Inputs) -> DataFrame:
-    return gold.mart_team_attack(i.sides(A.ATTACK_METRICS))
+    return gold.mart_team_attack(i.fact, i.totals(A.ATTACK_METRICS))
 
 
 @query("mart_team_defense", sql(TEAM_MARTS["team_defense"]))
 def _(i: Inputs) -> DataFrame:
-    return gold.mart_team_defense(i.sides(A.DEFENSE_METRICS))
+    return gold.mart_team_defense(i.fact, i.totals(A.DEFENSE_METRICS))
 
 
 @query("mart_team_defense_from_facts", sql(TEAM_MARTS["team_defense"]))
 def _(i: Inputs) -> DataFrame:
     team_match = i.team_match(A.DEFENSE_METRICS)
-    return gold.mart_team_defense(A.appearances_from_facts(i.fact, team_match, A.DEFENSE_METRICS))
+    return gold.mart_team_defense(i.fact, A.season_totals_from_facts(i.fact, team_match, A.DEFENSE_METRICS))
 
 
 @query("mart_team_possession", sql(TEAM_MARTS["team_possession"]))
 def _(i: Inputs) -> DataFrame:
-    return gold.mart_team_possession(i.sides(A.POSSESSION_METRICS))
+    return gold.mart_team_possession(i.fact, i.totals(A.POSSESSION_METRICS))
 
 
 @query("mart_team_discipline", sql(TEAM_MARTS["team_discipline"]))
 def _(i: Inputs) -> DataFrame:
-    return gold.mart_team_discipline(i.sides(A.DISCIPLINE_METRICS))
+    return gold.mart_team_discipline(i.fact, i.totals(A.DISCIPLINE_METRICS))
 
 
 # --- form --------------------------------------------------------------------
@@ -478,7 +478,7 @@ def _summary_sql() -> str:
 
 @query("mart_team_season_summary", _summary_sql())
 def _(i: Inputs) -> DataFrame:
-    return gold.mart_team_season_summary(i.sides(), i.form())
+    return gold.mart_team_season_summary(i.fact, i.totals(), i.form())
 
 
 # Which theme a league column reads.
@@ -522,7 +522,7 @@ def _league_sql() -> str:
 
 @query("mart_league_averages", _league_sql())
 def _(i: Inputs) -> DataFrame:
-    return gold.mart_league_averages(i.sides(), i.fact)
+    return gold.mart_league_averages(i.fact, i.totals())
 
 
 # --- fixtures and scorer -----------------------------------------------------

@@ -106,8 +106,8 @@ def _(i: Inputs) -> DataFrame:
     """The marts joined on (team, season), as separate relations."""
     keys = gold.TEAM_SEASON
     overview = gold.mart_team_overview(A.team_sides(i.fact)).select(*keys, "matches_played", "goals_for")
-    discipline = gold.mart_team_discipline(i.sides(A.DISCIPLINE_METRICS)).select(*keys, "total_fouls")
-    possession = gold.mart_team_possession(i.sides(A.POSSESSION_METRICS)).select(*keys, "total_passes")
+    discipline = gold.mart_team_discipline(i.fact, i.totals(A.DISCIPLINE_METRICS)).select(*keys, "total_fouls")
+    possession = gold.mart_team_possession(i.fact, i.totals(A.POSSESSION_METRICS)).select(*keys, "total_passes")
     return overview.join(discipline, keys, "left").join(possession, keys, "left")
 
 

@@ -63,6 +63,21 @@ def agg_pivot(
     return df.groupBy(*keys).agg(*aggs)
 
 
+def pivot_map(
+    df: DataFrame, keys: Sequence[str], name: str, values: Sequence[str], listed: Sequence[str], out: str = "cells"
+) -> DataFrame:
+    """One row per ``keys`` with a map from metric to a struct of ``values``.
+
+    For wide pivots: metrics are first made unique per key, which collapses
+    repeats before the exchange, and the map then holds at most the ``listed``
+    ones.  Columns are looked up from the map where they are needed, instead of
+    evaluating one conditional aggregate per column and row.
+    """
+    once = df.groupBy(*keys, name).agg(*[F.max(v).alias(v) for v in values])
+    cell = F.when(F.col(name).isin(list(listed)), F.struct(F.col(name), F.struct(*values)))
+    return once.groupBy(*keys).agg(F.map_from_entries(F.collect_list(cell)).alias(out))
+
+
 def with_columns_present(df: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:
     """Add the listed columns that ``df`` lacks as typed NULLs."""
     missing = {c: F.lit(None).cast(dtype) for c in columns if c not in df.columns}

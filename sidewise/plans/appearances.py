@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import STAT_TYPE
 from ..operators.pivot import name_columns, with_columns_present
 from ..operators.sides import side_union
-from .silver import match_stats
+from .silver import match_stats, side_values
 
 # The statistics that the season rollups use, by theme.
 ATTACK_METRICS = [
@@ -95,3 +95,61 @@ def appearances_from_facts(fact_match: DataFrame, fact_team_match: DataFrame, me
         against = whole.select("match_id", F.col("team_id").alias("opponent_id"), F.col(XG).alias(XG_AGAINST))
         out = out.join(against, ["match_id", "opponent_id"], "left")
     return out
+
+
+def _totals(long: DataFrame) -> DataFrame:
+    """(team_id, season_id, metric, value) rows to one map of totals per team and season.
+
+    Partial aggregation leaves one row per (team, season, metric) and task; the
+    map holds at most the listed metrics.
+    """
+    value = F.col("value")
+    sums = long.groupBy("team_id", "season_id", "metric").agg(
+        F.sum(value).alias("total"), F.count_if(value != 0).alias("nonzero")
+    )
+    entry = F.struct("metric", F.struct("total", "nonzero"))
+    return sums.groupBy("team_id", "season_id").agg(F.map_from_entries(F.collect_list(entry)).alias("totals"))
+
+
+def season_totals(fact_match: DataFrame, stats: DataFrame, metrics: Sequence[str] = ALL_METRICS) -> DataFrame:
+    """Season totals of full-match statistics straight from the long table.
+
+    Sums, zero-filled means and means of non-zero values are all linear, so no
+    per-match pivot is needed: a metric that appears in several groups is made
+    unique per match, joined to its match, split into sides and summed.
+    """
+    whole = side_values(stats).where((F.col("period") == "ALL") & F.col("metric").isin(list(metrics)))
+    once = whole.groupBy("match_id", "metric").agg(
+        F.max("home_value").alias("home_value"), F.max("away_value").alias("away_value")
+    )
+    played = fact_match.where(F.col("status_type") == "finished").select(
+        "match_id", "season_id", "home_team_id", "away_team_id"
+    )
+
+    def entry(team: str, metric: Column, value: str) -> Column:
+        return F.struct(F.col(team).alias("team_id"), metric.alias("metric"), F.col(value).alias("value"))
+
+    metric, against = F.col("metric"), F.lit(XG_AGAINST)
+    is_xg = metric == "expectedGoals"
+    entries = F.array(
+        entry("home_team_id", metric, "home_value"),
+        entry("away_team_id", metric, "away_value"),
+        F.when(is_xg, entry("home_team_id", against, "away_value")),
+        F.when(is_xg, entry("away_team_id", against, "home_value")),
+    )
+    return _totals(once.join(played, "match_id").select("season_id", F.inline(F.array_compact(entries))))
+
+
+def season_totals_from_facts(
+    fact_match: DataFrame, fact_team_match: DataFrame, metrics: Sequence[str] = ALL_METRICS
+) -> DataFrame:
+    """The same totals from the (match, team, period) fact."""
+    sides = appearances_from_facts(fact_match, fact_team_match, metrics)
+    cells = {raw: name for raw, name in name_columns(metrics)}
+    if XG_AGAINST in sides.columns:
+        cells[XG_AGAINST] = XG_AGAINST
+    entries = F.array(
+        *[F.struct(F.lit(raw).alias("metric"), F.col(name).alias("value")) for raw, name in cells.items()]
+    )
+    long = sides.select("team_id", "season_id", F.inline(entries))
+    return _totals(long.where(F.col("value").isNotNull()))

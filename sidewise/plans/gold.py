@@ -1,8 +1,9 @@
 """Season marts: one row per (team, season), per pair of teams, or per season.
 
-Every team mart is one grouped aggregation over ``appearances``.  Rows are
-grouped on the ids alone and the names ride along as ``max``: a renamed team
-stays one row.  ``matches_played`` counts rows, which are unique per (match, team).
+Team marts combine one aggregation over the sides of the matches with the season
+totals of the long statistics.  Rows are grouped on the ids alone and the names
+ride along as ``max``: a renamed team stays one row.  ``matches_played`` counts
+rows, which are unique per (match, team).
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import (
-    SUM_TYPE, flag, mean, mean_filled, mean_nonzero, over_rates, percent, quotient, rate, ratio_of_sums, zero,
+    SUM_TYPE, flag, mean, mean_filled, over_rates, percent, quotient, rate, zero,
 )
 from ..operators.filters import require_non_null
 from ..operators.ranking import dedupe_latest, last_n
@@ -53,8 +54,25 @@ def _drawn() -> Column:
     return F.col("winner_code") == STANDARD_CODES["draw"]
 
 
-def _per_game(column: str, name: str, digits: int = 2) -> dict[str, Column]:
-    return {f"total_{name}": F.sum(zero(column)), f"{name}_per_game": mean_filled(column, digits)}
+def _total(*metrics: str) -> Column:
+    """Season total over one or more metrics; a missing metric counts as 0."""
+    out = F.lit(0).cast(SUM_TYPE)
+    for metric in metrics:
+        out = out + F.coalesce(F.col("totals")[metric]["total"], F.lit(0).cast(SUM_TYPE))
+    return out.cast(SUM_TYPE)
+
+
+def _per_match(total: Column, digits: int = 2) -> Column:
+    return F.round(quotient(total, F.col("matches_played")), digits)
+
+
+def _per_game(metric: str, name: str, digits: int = 2) -> dict[str, Column]:
+    return {f"total_{name}": _total(metric), f"{name}_per_game": _per_match(_total(metric), digits)}
+
+
+def _nonzero_mean(metric: str) -> Column:
+    cell = F.col("totals")[metric]
+    return F.round(quotient(cell["total"], cell["nonzero"]), 1)
 
 
 def played() -> dict[str, Column]:
@@ -73,7 +91,7 @@ def overview_measures() -> dict[str, Column]:
         "points_per_game": F.round(quotient(F.sum(points), _rows()), 2),
         "goals_for": goals_for,
         "goals_against": goals_against,
-        "goal_difference": (goals_for - goals_against),
+        "goal_difference": goals_for - goals_against,
         "goals_per_game": F.round(quotient(goals_for, _rows()), 2),
         "goals_conceded_per_game": F.round(quotient(goals_against, _rows()), 2),
         "clean_sheets": clean,
@@ -81,106 +99,129 @@ def overview_measures() -> dict[str, Column]:
     }
 
 
+def scored_measures() -> dict[str, Column]:
+    return {"total_goals": F.sum("goals_for"), "goals_per_game": mean("goals_for", 2)}
+
+
+def conceded_measures() -> dict[str, Column]:
+    clean = F.sum(flag(F.col("goals_against") == 0))
+    return {
+        "total_goals_conceded": F.sum("goals_against"),
+        "goals_conceded_per_game": mean("goals_against", 2),
+        "clean_sheets": clean,
+        "clean_sheet_pct": percent(clean, _rows()),
+        "_mean_conceded": mean("goals_against"),
+    }
+
+
 def attack_measures() -> dict[str, Column]:
-    goals, xg = F.sum("goals_for").cast(SUM_TYPE), F.sum(zero(XG))
-    shots = zero("stat_shotsongoal") + zero("stat_shotsoffgoal") + zero("stat_blockedscoringattempt")
+    xg = _total("expectedGoals")
+    gap = F.col("total_goals").cast(SUM_TYPE) - xg
+    shots = _total("shotsOnGoal", "shotsOffGoal", "blockedScoringAttempt")
     return {
-        "total_goals": F.sum("goals_for"),
-        "goals_per_game": mean("goals_for", 2),
         "total_xg": xg,
-        "xg_per_game": mean_filled(XG, 2),
-        "xg_difference": F.round(goals - xg, 2),
-        "xg_diff_per_game": F.round(quotient(goals - xg, _rows()), 2),
-        **_per_game("stat_bigchancecreated", "big_chances_created"),
-        **_per_game("stat_bigchancemissed", "big_chances_missed"),
-        **_per_game("stat_bigchancescored", "big_chances_scored"),
-        **_per_game("stat_shotsongoal", "shots_on_target"),
-        **_per_game("stat_shotsoffgoal", "shots_off_target"),
-        **_per_game("stat_blockedscoringattempt", "blocked_shots"),
-        "total_shots": F.sum(shots),
-        "shots_per_game": mean(shots, 2),
-        **_per_game("stat_totalshotsinsidebox", "shots_inside_box"),
-        **_per_game("stat_totalshotsoutsidebox", "shots_outside_box"),
-        "total_hit_woodwork": F.sum(zero("stat_hitwoodwork")),
-        **_per_game("stat_cornerkicks", "corners"),
-        "avg_dribbles_success_pct": mean_nonzero("stat_dribblespercentage"),
-        **_per_game("stat_touchesinoppbox", "touches_in_box"),
+        "xg_per_game": _per_match(xg),
+        "xg_difference": F.round(gap, 2),
+        "xg_diff_per_game": _per_match(gap),
+        **_per_game("bigChanceCreated", "big_chances_created"),
+        **_per_game("bigChanceMissed", "big_chances_missed"),
+        **_per_game("bigChanceScored", "big_chances_scored"),
+        **_per_game("shotsOnGoal", "shots_on_target"),
+        **_per_game("shotsOffGoal", "shots_off_target"),
+        **_per_game("blockedScoringAttempt", "blocked_shots"),
+        "total_shots": shots,
+        "shots_per_game": _per_match(shots),
+        **_per_game("totalShotsInsideBox", "shots_inside_box"),
+        **_per_game("totalShotsOutsideBox", "shots_outside_box"),
+        "total_hit_woodwork": _total("hitWoodwork"),
+        **_per_game("cornerKicks", "corners"),
+        "avg_dribbles_success_pct": _nonzero_mean("dribblesPercentage"),
+        **_per_game("touchesInOppBox", "touches_in_box"),
     }
 
 
 def defense_measures() -> dict[str, Column]:
     """``blocked_shots`` are the team's own blocked attempts, as in the attack mart."""
-    conceded, xga = F.sum("goals_against").cast(SUM_TYPE), F.sum(zero(XG_AGAINST))
-    clean = F.sum(flag(F.col("goals_against") == 0))
+    xga = _total(XG_AGAINST)
+    mean_xga = quotient(xga, F.col("matches_played"))
     return {
-        "total_goals_conceded": F.sum("goals_against"),
-        "goals_conceded_per_game": mean("goals_against", 2),
         "total_xga": xga,
-        "xga_per_game": mean_filled(XG_AGAINST, 2),
-        "xga_difference": F.round(conceded - xga, 2),
-        "xga_difference_per_game": F.round(mean("goals_against") - mean_filled(XG_AGAINST), 2),
-        "clean_sheets": clean,
-        "clean_sheet_pct": percent(clean, _rows()),
-        **_per_game("stat_goalkeepersaves", "saves"),
-        **_per_game("stat_totaltackle", "tackles"),
-        "avg_tackles_won_pct": mean_nonzero("stat_wontacklepercent"),
-        **_per_game("stat_interceptionwon", "interceptions"),
-        **_per_game("stat_totalclearance", "clearances"),
-        **_per_game("stat_blockedscoringattempt", "blocked_shots"),
-        **_per_game("stat_ballrecovery", "ball_recoveries"),
-        "avg_aerial_duels_pct": mean_nonzero("stat_aerialduelspercentage"),
-        "avg_ground_duels_pct": mean_nonzero("stat_groundduelspercentage"),
-        "avg_duels_won_pct": mean_nonzero("stat_duelwonpercent"),
-        "total_errors_lead_to_goal": F.sum(zero("stat_errorsleadtogoal")),
-        "total_errors_lead_to_shot": F.sum(zero("stat_errorsleadtoshot")),
+        "xga_per_game": _per_match(xga),
+        "xga_difference": F.round(F.col("total_goals_conceded").cast(SUM_TYPE) - xga, 2),
+        "xga_difference_per_game": F.round(F.col("_mean_conceded") - mean_xga, 2),
+        **_per_game("goalkeeperSaves", "saves"),
+        **_per_game("totalTackle", "tackles"),
+        "avg_tackles_won_pct": _nonzero_mean("wonTacklePercent"),
+        **_per_game("interceptionWon", "interceptions"),
+        **_per_game("totalClearance", "clearances"),
+        **_per_game("blockedScoringAttempt", "blocked_shots"),
+        **_per_game("ballRecovery", "ball_recoveries"),
+        "avg_aerial_duels_pct": _nonzero_mean("aerialDuelsPercentage"),
+        "avg_ground_duels_pct": _nonzero_mean("groundDuelsPercentage"),
+        "avg_duels_won_pct": _nonzero_mean("duelWonPercent"),
+        "total_errors_lead_to_goal": _total("errorsLeadToGoal"),
+        "total_errors_lead_to_shot": _total("errorsLeadToShot"),
     }
 
 
 def possession_measures() -> dict[str, Column]:
     return {
-        "avg_possession_pct": mean_nonzero("stat_ballpossession"),
-        **_per_game("stat_accuratepasses", "accurate_passes", digits=1),
-        "total_passes": F.sum(zero("stat_passes")),
-        "total_passes_per_game": mean_filled("stat_passes", 1),
-        "pass_accuracy_pct": ratio_of_sums("stat_accuratepasses", "stat_passes"),
-        **_per_game("stat_accuratelongballs", "accurate_long_balls"),
-        **_per_game("stat_accuratecross", "accurate_crosses"),
-        **_per_game("stat_finalthirdentries", "final_third_entries"),
-        **_per_game("stat_touchesinoppbox", "touches_in_box"),
-        **_per_game("stat_dispossessed", "dispossessed"),
-        **_per_game("stat_throwins", "throw_ins"),
-        **_per_game("stat_goalkicks", "goal_kicks"),
+        "avg_possession_pct": _nonzero_mean("ballPossession"),
+        **_per_game("accuratePasses", "accurate_passes", digits=1),
+        "total_passes": _total("passes"),
+        "total_passes_per_game": _per_match(_total("passes"), 1),
+        "pass_accuracy_pct": percent(_total("accuratePasses"), _total("passes")),
+        **_per_game("accurateLongBalls", "accurate_long_balls"),
+        **_per_game("accurateCross", "accurate_crosses"),
+        **_per_game("finalThirdEntries", "final_third_entries"),
+        **_per_game("touchesInOppBox", "touches_in_box"),
+        **_per_game("dispossessed", "dispossessed"),
+        **_per_game("throwIns", "throw_ins"),
+        **_per_game("goalKicks", "goal_kicks"),
     }
 
 
 def discipline_measures() -> dict[str, Column]:
     return {
-        **_per_game("stat_yellowcards", "yellow_cards"),
-        "total_red_cards": F.sum(zero("stat_redcards")),
-        **_per_game("stat_fouls", "fouls"),
-        **_per_game("stat_offsides", "offsides"),
-        **_per_game("stat_freekicks", "free_kicks"),
+        **_per_game("yellowCards", "yellow_cards"),
+        "total_red_cards": _total("redCards"),
+        **_per_game("fouls", "fouls"),
+        **_per_game("offsides", "offsides"),
+        **_per_game("freeKicks", "free_kicks"),
     }
 
 
+def _season_mart(
+    fact_match: DataFrame, totals: DataFrame, goals: dict[str, Column], statistics: dict[str, Column]
+) -> DataFrame:
+    """Goal measures aggregated over sides, joined with the statistics totals.
+
+    Both inputs of the join have one row per (team, season).
+    """
+    base = _rollup(team_sides(fact_match), played() | goals)
+    out = base.join(totals, TEAM_SEASON, "left").withColumns(statistics)
+    hidden = [c for c in out.columns if c.startswith("_")]
+    return out.drop("totals", *hidden)
+
+
 def mart_team_overview(sides: DataFrame) -> DataFrame:
     return _rollup(sides, played() | overview_measures())
 
 
-def mart_team_attack(sides: DataFrame) -> DataFrame:
-    return _rollup(sides, played() | attack_measures())
+def mart_team_attack(fact_match: DataFrame, totals: DataFrame) -> DataFrame:
+    return _season_mart(fact_match, totals, scored_measures(), attack_measures())
 
 
-def mart_team_defense(sides: DataFrame) -> DataFrame:
-    return _rollup(sides, played() | defense_measures())
+def mart_team_defense(fact_match: DataFrame, totals: DataFrame) -> DataFrame:
+    return _season_mart(fact_match, totals, conceded_measures(), defense_measures())
 
 
-def mart_team_possession(sides: DataFrame) -> DataFrame:
-    return _rollup(sides, played() | possession_measures())
+def mart_team_possession(fact_match: DataFrame, totals: DataFrame) -> DataFrame:
+    return _season_mart(fact_match, totals, {}, possession_measures())
 
 
-def mart_team_discipline(sides: DataFrame) -> DataFrame:
-    return _rollup(sides, played() | discipline_measures())
+def mart_team_discipline(fact_match: DataFrame, totals: DataFrame) -> DataFrame:
+    return _season_mart(fact_match, totals, {}, discipline_measures())
 
 
 # --- recent form -----------------------------------------------------------
@@ -464,13 +505,14 @@ def team_themes() -> dict[str, Column]:
     return attack_measures() | defense_measures() | possession_measures() | discipline_measures()
 
 
-def team_season_wide(sides: DataFrame) -> DataFrame:
-    """All themes in one pass: a single shuffle instead of one per mart."""
-    return _rollup(sides, played() | team_themes() | overview_measures() | venue_measures())
+def team_season_wide(fact_match: DataFrame, totals: DataFrame) -> DataFrame:
+    """All themes in one pass over the sides and one over the statistics, not one per mart."""
+    goals = scored_measures() | conceded_measures() | overview_measures() | venue_measures()
+    return _season_mart(fact_match, totals, goals, team_themes())
 
 
-def mart_team_season_summary(sides: DataFrame, form: DataFrame) -> DataFrame:
-    wide = team_season_wide(sides).withColumns(
+def mart_team_season_summary(fact_match: DataFrame, totals: DataFrame, form: DataFrame) -> DataFrame:
+    wide = team_season_wide(fact_match, totals).withColumns(
         {
             "total_touches_in_box_possession": F.col("total_touches_in_box"),
             "touches_in_box_per_game_possession": F.col("touches_in_box_per_game"),
@@ -592,13 +634,14 @@ def league_blocks(teams: DataFrame) -> DataFrame:
     )
 
 
-def mart_league_averages(sides: DataFrame, fact_match: DataFrame) -> DataFrame:
+def mart_league_averages(fact_match: DataFrame, totals: DataFrame) -> DataFrame:
     """One row per season.
 
     All team themes come from one aggregation, so the block join has two inputs
     of one row per season each.
     """
-    blocks = league_blocks(_rollup(sides, played() | team_themes()))
+    goals = scored_measures() | conceded_measures()
+    blocks = league_blocks(_season_mart(fact_match, totals, goals, team_themes()))
     out = league_outcomes(fact_match).join(blocks, "season_id", "left")
     identity = ["season_id", "season_name", "season_year", "tournament_id", "tournament_name", "total_matches"]
     return out.fillna(0, subset=[c for c in out.columns if c not in identity])

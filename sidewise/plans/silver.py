@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import fill_second_half, metric_key, normalize_period, period_label
@@ -12,8 +12,8 @@ from ..functions.keys import surrogate_key
 from ..functions.measures import STAT_TYPE
 from ..operators.filters import finished_filter, stage_filter
 from ..operators.loads import hwm_filter, insert_if_absent
-from ..operators.pivot import agg_pivot
-from ..operators.sides import side_union
+from ..operators.pivot import agg_pivot, pivot_map
+from ..operators.sides import HOME, side_union
 
 # Columns of the two staging tables.
 STAGING_MATCH_COLUMNS = [
@@ -202,18 +202,23 @@ def fact_team_match(stats: DataFrame, staged: DataFrame, columns: Sequence[tuple
     The long table is aggregated at match grain first, so half as many rows are
     shuffled and joined as when the sides are split before the pivot.
     """
-    names = [name for _, name in columns]
     teams = staged.select("match_id", "home_team_id", "home_team_name", "away_team_id", "away_team_name")
-    wide = match_stats(stats, columns).join(teams, "match_id")
+    raw_keys = [raw for raw, _ in columns]
+    cells = pivot_map(side_values(stats), ["match_id", "period"], "metric", ["home_value", "away_value"], raw_keys)
 
     def side(label: str) -> dict[str, str]:
-        ids = {"team_id": f"{label}_team_id", "team_name": f"{label}_team_name"}
-        return ids | {name: f"{label}_{name}" for name in names}
+        return {"team_id": f"{label}_team_id", "team_name": f"{label}_team_name"}
+
+    rows = side_union(cells.join(teams, "match_id"), ["match_id", "period", "cells"], side("home"), side("away"))
+    at_home = F.col("location") == HOME
+
+    def metric(raw: str) -> Column:
+        cell = F.col("cells")[raw]
+        return F.when(at_home, cell["home_value"]).otherwise(cell["away_value"])
 
-    rows = side_union(wide, ["match_id", "period"], side("home"), side("away"))
     return rows.select(
         surrogate_key("match_id", "team_id", "period").alias("match_team_period_key"),
-        "match_id", "team_id", "team_name", "period", *names,
+        "match_id", "team_id", "team_name", "period", *[metric(raw).alias(name) for raw, name in columns],
     )
 
 
