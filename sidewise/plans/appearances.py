@@ -104,7 +104,7 @@ def _totals(long: DataFrame) -> DataFrame:
     map holds at most the listed metrics.
     """
     value = F.col("value")
-    sums = long.groupBy("team_id", "season_id", "metric").agg(
+    sums = long.where(value.isNotNull()).groupBy("team_id", "season_id", "metric").agg(
         F.sum(value).alias("total"), F.count_if(value != 0).alias("nonzero")
     )
     entry = F.struct("metric", F.struct("total", "nonzero"))
@@ -151,5 +151,4 @@ def season_totals_from_facts(
     entries = F.array(
         *[F.struct(F.lit(raw).alias("metric"), F.col(name).alias("value")) for raw, name in cells.items()]
     )
-    long = sides.select("team_id", "season_id", F.inline(entries))
-    return _totals(long.where(F.col("value").isNotNull()))
+    return _totals(sides.select("team_id", "season_id", F.inline(entries)))
