@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.documents import compare_sides, explode_stats, flatten_match_json, with_group_counts
+from ..operators.documents import (
+    compare_sides, explode_stats, flatten_match_json, largest_match, with_group_counts,
+)
 from ..operators.joins import missing_from
 from ..operators.loads import hwm_filter, merge_upsert
 
@@ -43,11 +45,14 @@ def full_stats_data(
 
     The document text is not carried along: exploded rows would repeat it a
     hundred times; ``match_id`` leads back to the raw row.  With ``stage_path``
-    the exploded rows are written there once, so no document is parsed twice.
+    the exploded rows are written there once, so no document is parsed twice and
+    the largest match is measured to choose how counts are taken.
     """
+    largest = None
     docs = raw_stats if loaded is None else missing_from(raw_stats, loaded, ["match_id"])
     flat = compare_sides(explode_stats(docs, keep=["match_id", "tournament_id"], strict=strict))
     if stage_path is not None:
         flat.write.mode("overwrite").parquet(stage_path)
         flat = raw_stats.sparkSession.read.schema(flat.schema).parquet(stage_path)
-    return with_group_counts(flat).join(season_of_match(matches), "match_id", "left")
+        largest = largest_match(flat)
+    return with_group_counts(flat, largest).join(season_of_match(matches), "match_id", "left")

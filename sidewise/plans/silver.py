@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import fill_second_half, metric_key, normalize_period, period_label
@@ -13,7 +13,7 @@ from ..functions.measures import STAT_TYPE
 from ..operators.filters import finished_filter, stage_filter
 from ..operators.loads import hwm_filter, insert_if_absent
 from ..operators.pivot import agg_pivot, pivot_map
-from ..operators.sides import HOME, side_union
+from ..operators.sides import side_union
 
 # Columns of the two staging tables.
 STAGING_MATCH_COLUMNS = [
@@ -205,20 +205,23 @@ def fact_team_match(stats: DataFrame, staged: DataFrame, columns: Sequence[tuple
     teams = staged.select("match_id", "home_team_id", "home_team_name", "away_team_id", "away_team_name")
     raw_keys = [raw for raw, _ in columns]
     cells = pivot_map(side_values(stats), ["match_id", "period"], "metric", ["home_value", "away_value"], raw_keys)
+    # Slots in column order, so that each output column is a plain array access.
+    listed = F.array(*[F.lit(raw) for raw in raw_keys])
+    slots = cells.select(
+        "match_id",
+        "period",
+        F.transform(listed, lambda raw: F.col("cells")[raw]["home_value"]).alias("home_values"),
+        F.transform(listed, lambda raw: F.col("cells")[raw]["away_value"]).alias("away_values"),
+    )
 
     def side(label: str) -> dict[str, str]:
-        return {"team_id": f"{label}_team_id", "team_name": f"{label}_team_name"}
-
-    rows = side_union(cells.join(teams, "match_id"), ["match_id", "period", "cells"], side("home"), side("away"))
-    at_home = F.col("location") == HOME
-
-    def metric(raw: str) -> Column:
-        cell = F.col("cells")[raw]
-        return F.when(at_home, cell["home_value"]).otherwise(cell["away_value"])
+        return {"team_id": f"{label}_team_id", "team_name": f"{label}_team_name", "values": f"{label}_values"}
 
+    rows = side_union(slots.join(teams, "match_id"), ["match_id", "period"], side("home"), side("away"))
     return rows.select(
         surrogate_key("match_id", "team_id", "period").alias("match_team_period_key"),
-        "match_id", "team_id", "team_name", "period", *[metric(raw).alias(name) for raw, name in columns],
+        "match_id", "team_id", "team_name", "period",
+        *[F.get("values", F.lit(n)).alias(name) for n, (_, name) in enumerate(columns)],
     )
 
 

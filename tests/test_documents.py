@@ -30,10 +30,11 @@ def test_flatten_has_all_columns(spark):
     assert len(D.flatten_match_json(spark.createDataFrame([("{}",)], "data string")).columns) == 44
 
 
-def test_counts_in_groups_match_brute_force(spark):
+@pytest.mark.parametrize("largest", [None, 100])
+def test_counts_in_groups_match_brute_force(spark, largest):
     rows = [(m, p, g, f"k{n:03d}", "name") for m in (1, 2) for p in ("ALL", "1ST") for g in ("A", "B") for n in range(7 * m)]
     flat = spark.createDataFrame(rows, "match_id int, period string, group_name string, statistic_key string, statistic_name string")
-    got = D.with_group_counts(flat).collect()
+    got = D.with_group_counts(flat, largest).collect()
     assert len(got) == len(rows)
     for r in got:
         assert r.stat_order_in_group == int(r.statistic_key[1:]) + 1
