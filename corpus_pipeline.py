@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sidewise.llm import bpe, decontaminate, line_dedup, near_dedup, toxicity
-from sidewise.llm.common import bounded_batches, free_name, stored, table
+from sidewise.llm.common import prepare_workers, free_name, stored, table
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
@@ -25,7 +25,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below the limit of the classifier, each row by its own text."""
-    bounded_batches(spark)
+    prepare_workers(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     score = toxicity.scored(F.coalesce("text", F.lit("")), model)["score"]
     name = free_name(docs, "score")
@@ -34,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document holds; n_chars follows the text."""
-    bounded_batches(spark)
+    prepare_workers(spark)
     name = free_name(docs, "lines")
     cleaned = line_dedup.clean(line_dedup.build(docs), docs, name).drop(name)
     if "n_chars" in docs.columns:
@@ -44,7 +44,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    bounded_batches(spark)
+    prepare_workers(spark)
     groups = near_dedup.near_duplicates(docs, NEAR_WORDS, NEAR_PERCENT)
     return _without(docs, groups.where(~F.col("kept")))
 
@@ -58,7 +58,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, packed ids, and the digests of the ids and of what they decode to."""
     import public_tokenizers
 
-    bounded_batches(spark)
+    prepare_workers(spark)
     rows = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return rows.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,19 +15,24 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from sidewise.session import scratch_path
 
+ROOT = str(Path(__file__).resolve().parents[2])
 #: Rows and bytes that one Arrow batch may hold, so that a worker's memory does not follow the table.
 BATCH_ROWS = 1_000
 BATCH_BYTES = "16m"
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches that Python workers get."""
+def prepare_workers(spark: SparkSession) -> None:
+    """Bound the Arrow batches that Python workers get, and let them import this package from where the driver has it."""
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    bounded_batches(spark)
+    prepare_workers(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
