@@ -31,7 +31,7 @@ SLACK = 0.25
 #: Sketch lists, and lists inside a group of copies, of which all pairs are compared.
 SHORT_LIST, SHORT_CELL_LIST = 24, 128
 #: How often a long list inside a group is divided further before its pairs are compared.
-MOST_LEVELS = 4
+MOST_LEVELS = 3
 REMEMBERED = 400_000
 _MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)]
 _HASHES: dict[bytes, int] = {}
@@ -151,6 +151,13 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("a", "b")
 
 
+def _merged(lists: DataFrame, keys: list[str]) -> DataFrame:
+    """cell and rep: lists that share members are one cell, so every member is in one cell."""
+    first = lists.groupBy(*keys).agg(F.min("rep").alias("b"))
+    edges = lists.select(F.col("rep").alias("a"), *keys).join(first, keys).select("a", "b")
+    return stored(components(edges).select(F.col("component").alias("cell"), F.col("node").alias("rep")), "cells")
+
+
 def _cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that connect all linked sets of each cell; ``cells`` has cell and rep.
 
@@ -164,7 +171,7 @@ def _cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     link of a far member needs at least (g1 + g2) / (2 * (100 + percent)) common items
     in the differences.  Items of differences are ordered from rare to frequent, and
     far members are paired with those they meet in the part that such a link can't miss.
-    Long lists of that kind are cells in turn, with centres of their own.
+    Long lists of that kind make up new cells, with centres of their own.
     """
     c, up, down = F.col, 100 + percent, 100 - percent
     found = None
@@ -208,9 +215,10 @@ def _cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pairs = _pairs_within(short.drop("length"), ["cell", "item"], meets)
         made = stored(star.unionByName(pairs).distinct(), "cell-pairs")
         found = made if found is None else found.unionByName(made)
-        cells = lists.where(c("length") > SHORT_CELL_LIST).select(F.xxhash64("cell", "item").alias("cell"), "rep")
-        if last or cells.isEmpty():
+        long = lists.where(c("length") > SHORT_CELL_LIST)
+        if last or long.isEmpty():
             return found
+        cells = _merged(long, ["cell", "item"])
     return found
 
 
@@ -230,11 +238,7 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, k: int)
     sets = rows.join(needed, c("doc_id") == c("need"), "left_semi").select(c("doc_id").alias("rep"), _setter(words)("text").alias("items"))
     sets = stored(sets.where(F.size("items") > 0), "sets")
     if hot:
-        # Long lists that share members are one cell.
-        first = long.groupBy(c("value").alias("of")).agg(F.min("rep").alias("first"))
-        edges = long.join(first, c("value") == c("of")).select(c("rep").alias("a"), c("first").alias("b"))
-        cells = stored(components(edges).select(c("component").alias("cell"), c("node").alias("rep")), "cells")
-        pairs = pairs.unionByName(_cells(cells, sets, percent)).distinct()
+        pairs = pairs.unionByName(_cells(_merged(long, ["value"]), sets, percent)).distinct()
     return _linked(pairs, sets, percent)
 
 

@@ -454,13 +454,13 @@ def test_near_dedup_awkward(spark, awkward, nothing):
     assert {(i, c) for i, _, c, _ in near(spark, rows, 3, 85)} == {(5, 5), (7, 5), (9, 5), (11, 11)}
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_near_dedup_in_large_groups(spark, seed):
     """Groups of copies far longer than the lists of which all pairs are compared, with and without their original."""
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
     rows = []
-    for group, (size, words) in enumerate([(500, 120), (300, 60), (200, 200)]):
+    for group, (size, words) in enumerate([(400, 90), (250, 50)]):
         origin = [word() for _ in range(words)]
         if group != 1:
             rows.append(" ".join(origin))
@@ -473,7 +473,7 @@ def test_near_dedup_in_large_groups(spark, seed):
             made.append(copy)
             rows.append(" ".join(copy))
     shared = " ".join(word() for _ in range(30))
-    rows += [f"{shared} {' '.join(word() for _ in range(rng.randrange(1, 25)))}" for _ in range(300)]
+    rows += [f"{shared} {' '.join(word() for _ in range(rng.randrange(1, 25)))}" for _ in range(200)]
     rng.shuffle(rows)
     rows = list(enumerate(rows))
     got, expected = near(spark, rows, 3, 85), expected_near(rows, 3, 85)
