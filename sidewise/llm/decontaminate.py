@@ -168,6 +168,8 @@ def _search(rows: DataFrame, block: Block) -> DataFrame:
     items = items.select("item", "item_id", "ids", F.transform(F.slice("ranked", F.lit(1), c("n_seeds")), lambda x: x["gram"]).alias("seeds"))
     windows = found.select("doc_id", F.explode("windows").alias("w")).select("doc_id", "w.*")
     windows = windows.join(items, "item").where(F.arrays_overlap("grams", "seeds"))
+    # Few bytes, much work: spread by number, not by size.
+    windows = windows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     scored = windows.select("doc_id", "item_id", "at", aligned("ids", "words").alias("hit")).where(c("hit.score") >= LEAST_SCORE)
     best = F.max(F.struct(c("hit.score").alias("score"), (-c("at") - c("hit.start")).alias("first"), (c("at") + c("hit.end")).alias("last")))
     return scored.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
