@@ -34,7 +34,7 @@ END_ID = 1
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST = "part int, ids_file string, index_file string, n_docs bigint, n_tokens bigint"
 #: Distinct blank-free pieces whose ids a worker remembers, and the longest one it remembers.
-REMEMBERED, LONGEST = 300_000, 48
+REMEMBERED, LONGEST = 800_000, 32
 
 
 class Pieces:
@@ -52,14 +52,18 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        #: Pieces met lately, and those met before them; the latter go when the former fill half the room.
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, batch: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in batch]
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known = self.known
-        new = list({piece for pieces in split for piece in pieces if piece not in known})
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {"": b""}, self.known
+        known, older = self.known, self.older
+        met = set().union(*split).difference(known)
+        known.update((piece, older[piece]) for piece in met if piece in older)
+        new = [piece for piece in met if piece not in known]
         for at in range(0, len(new), 4_096):
             some = new[at : at + 4_096]
             for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
