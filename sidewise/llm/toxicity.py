@@ -8,11 +8,12 @@ word beginnings in sentences are fitted to them, and then point at the sentences
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +31,11 @@ UNEXPLAINED = 0.03
 BEGINNINGS = (4, 5, 6, 7)
 STEPS, RATE, PENALTY = 150, 0.3, 1e-6
 THRESHOLD = 0.7
+#: Features are numbered by a hash, so that fitting needs the same memory whatever the sample holds.
+BINS = 1 << 22
 REMEMBERED = 500_000
 _SENTENCE = re.compile(r"[^.!?\n]+")
+_PIECE = re.compile(r"[^.!?\s]+")
 _NOT_WORD = re.compile(r"[\W_]+")
 
 
@@ -40,17 +44,18 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _SENTENCE.finditer(text) if not m.group().isspace()]
 
 
-def features(token: str) -> list[str]:
-    """The word and its first letters."""
+def features(token: str) -> tuple[int, ...]:
+    """Numbers of the word and of its first letters."""
     word = _NOT_WORD.sub("", token.lower())
-    return [f"={word}", *(f"^{word[:n]}" for n in BEGINNINGS if len(word) > n)] if word else []
+    named = [f"={word}", *(f"^{word[:n]}" for n in BEGINNINGS if len(word) > n)] if word else []
+    return tuple(xxhash.xxh32_intdigest(f) % BINS for f in named)
 
 
 @dataclass(frozen=True)
 class Model:
     """Weights (never negative) of features; everything else counts nothing."""
 
-    weights: dict[str, float]
+    weights: dict[int, float]
 
     def weight(self, token: str) -> float:
         return sum(self.weights.get(f, 0.0) for f in features(token))
@@ -77,40 +82,37 @@ def _sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int]]:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample; without labels of both classes nothing is evidence."""
-    split = [([[f for t in text[a:b].split() for f in features(t)] for a, b in sentences(text)], toxic) for text, toxic in _sample(docs, labels)]
-    counts = {0: Counter(), 1: Counter()}
-    sizes = Counter(toxic for _, toxic in split)
-    for found, toxic in split:
-        counts[toxic].update({f for sentence in found for f in sentence})
-    if not sizes[0] or not sizes[1]:
+    sample = _sample(docs, labels)
+    toxic = np.array([y for _, y in sample], np.int64)
+    sizes = np.bincount(toxic, minlength=2)
+    if not sizes.all():
         return Model({})
-
-    def lift(f: str) -> float:
-        return np.log((counts[1][f] + 0.5) / (sizes[1] + 1)) - np.log((counts[0][f] + 0.5) / (sizes[0] + 1))
-
-    chosen = sorted(
-        ((-n * lift(f), f) for f, n in counts[1].items() if n + counts[0][f] >= LEAST_DOCUMENTS and lift(f) > 0)
-    )[:MOST_FEATURES]
-    number = {f: i for i, (_, f) in enumerate(chosen)}
+    of_token = lru_cache(100_000)(features)
+    counts = np.zeros((2, BINS), np.int32)
+    for text, label in sample:
+        counts[label, list({f for t in set(_PIECE.findall(text)) for f in of_token(t)})] += 1
+    lift = np.log((counts[1] + 0.5) / (sizes[1] + 1)) - np.log((counts[0] + 0.5) / (sizes[0] + 1))
+    gain = np.where((lift > 0) & (counts.sum(0) >= LEAST_DOCUMENTS), counts[1] * lift, 0)
+    chosen = np.argsort(-gain, kind="stable")[:MOST_FEATURES]
+    number = {int(f): i for i, f in enumerate(chosen[gain[chosen] > 0])}
     if not number:
         return Model({})
     # Sentences with any of the features; the others count nothing.
     feature, place, owner = [], [], []
-    for d, (found, _) in enumerate(split):
-        for sentence in found:
-            own = [number[f] for f in sentence if f in number]
+    for d, (text, _) in enumerate(sample):
+        for start, end in sentences(text):
+            own = [number[f] for t in text[start:end].split() for f in of_token(t) if f in number]
             if own:
                 feature += own
                 place += [len(owner)] * len(own)
                 owner.append(d)
     feature, place, owner = np.array(feature), np.array(place), np.array(owner)
-    toxic = np.array([y for _, y in split])
     weights, mean, square = np.full(len(number), 0.5), np.zeros(len(number)), np.zeros(len(number))
     for step in range(1, STEPS + 1):
         z = NO_EVIDENCE + np.bincount(place, weights[feature], len(owner))
         # -log(1 - p) of a document is the sum of those of its sentences.
-        total = np.bincount(owner, _risk(z), len(split)) + UNEXPLAINED
-        by_document = np.where(toxic == 1, -1 / np.expm1(np.minimum(total, 500)), 1.0) / len(split)
+        total = np.bincount(owner, _risk(z), len(sample)) + UNEXPLAINED
+        by_document = np.where(toxic == 1, -1 / np.expm1(np.minimum(total, 500)), 1.0) / len(sample)
         by_sentence = by_document[owner] / (1 + np.exp(-z))
         gradient = np.bincount(feature, by_sentence[place], len(number)) + PENALTY * weights
         mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
