@@ -30,8 +30,10 @@ OVERLAP = 0.5
 SLACK = 0.25
 #: Sketch lists, and lists inside a group of copies, of which all pairs are compared.
 SHORT_LIST, SHORT_CELL_LIST = 24, 128
-#: How often a long list inside a group is divided further before its pairs are compared.
+#: How often the long lists inside a group are divided further before their pairs are compared,
+#: and the part of the members that may be left for it.
 MOST_LEVELS = 3
+LEAST_GAIN = 0.5
 REMEMBERED = 400_000
 _MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)]
 _HASHES: dict[bytes, int] = {}
@@ -185,6 +187,8 @@ def _cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         deltas = members.join(centre, c("cell") == c("of"), "left").select(
             "cell", "rep", F.size("items").alias("n"), difference("items", F.coalesce("centre", F.array().cast("array<bigint>"))).alias("delta")
         )
+        # Members of a hot cell come from few tasks; deal them out by number.
+        deltas = deltas.repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         deltas = stored(deltas.withColumn("d", F.size("delta")).withColumn("g", (up * c("d") - down * c("n")).cast("bigint")), "deltas")
         hubs = deltas.groupBy(c("cell").alias("of")).agg(F.min(F.struct("g", "rep")).alias("hub"))
         deltas = deltas.join(hubs, c("cell") == c("of")).select(
@@ -210,13 +214,15 @@ def _cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
         need = F.ceil((c("a_g") + c("b_g")) / F.lit(2.0 * up))
         meets = (c("a_far") | c("b_far")) & (c("a_rank") <= c("a_d") - need + 1) & (c("b_rank") <= c("b_d") - need + 1)
-        last = level == MOST_LEVELS - 1
+        long = lists.where(c("length") > SHORT_CELL_LIST)
+        # Divide further as long as that halves what is left.
+        left = long.agg(F.countDistinct("rep")).first()[0]
+        last = level == MOST_LEVELS - 1 or left > cells.count() * LEAST_GAIN
         short = lists if last else lists.where(c("length") <= SHORT_CELL_LIST)
         pairs = _pairs_within(short.drop("length"), ["cell", "item"], meets)
         made = stored(star.unionByName(pairs).distinct(), "cell-pairs")
         found = made if found is None else found.unionByName(made)
-        long = lists.where(c("length") > SHORT_CELL_LIST)
-        if last or long.isEmpty():
+        if last or not left:
             return found
         cells = _merged(long, ["cell", "item"])
     return found
