@@ -76,9 +76,10 @@ def paged(i: Inputs) -> DataFrame:
 
 @query(
     "scan_cutoff_page",
-    f"""with pages as (select page, count(*) as n, count(*) filter (day <= '2000-03-10') as old from {_PAGES} where page between 0 and 24 group by page),
-    stop as (select min(page) as last from pages where old * 10 > n * 8)
-    select o_orderkey, page from {_PAGES}, stop where day > '2000-03-10' and page between 0 and least(ifnull(last, 24), 24)""",
+    f"""with pages as (select page, count(*) as n, count(*) filter (day <= '2000-03-10') as old from {_PAGES} where page >= 0 group by page),
+    stop as (select min(page) as last from pages where old * 10 > n * 8),
+    gap as (select min(p) as first from (select 0 as p union all select page + 1 from pages) where p not in (select page from pages))
+    select o_orderkey, page from {_PAGES}, stop, gap where day > '2000-03-10' and page >= 0 and page < first and page <= ifnull(last, page)""",
 )
 def _(i: Inputs) -> DataFrame:
     return P.scan_cutoff_page(paged(i), "page", "seconds", "2000-03-10").select("o_orderkey", "page")

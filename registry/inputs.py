@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from sidewise.functions.measures import STAT_TYPE
 from sidewise.operators.documents import compare_sides
-from sidewise.operators.pivot import name_columns
-from sidewise.plans import appearances, gold, scorer, silver
+from sidewise.operators.pivot import metric_columns, name_columns
+from sidewise.plans import appearances, bronze, gold, scorer, silver
 from sidewise.session import scratch_path
 
 METRICS = appearances.ALL_METRICS
@@ -53,7 +53,7 @@ def written(build):
     return property(relation)
 
 
-WRITTEN_RELATIONS = ["matches", "stats", "match_documents", "stats_documents", "upcoming_documents"]
+WRITTEN_RELATIONS = ["matches", "stats", "match_documents", "stats_documents", "full_stats", "upcoming_documents"]
 
 
 class Inputs:
@@ -100,6 +100,7 @@ class Inputs:
             F.concat(short(year), F.lit("/"), short(year + 1)).alias("season_year"),
             F.when(key % 11 != 0, F.dayofyear(day).cast("int")).alias("round_number"),
             F.when(key % 13 == 0, (key % 9).cast("int")).alias("injury_time_2"),
+            F.when(key % 13 == 0, day + F.expr("interval 1 hour")).alias("current_period_start_timestamp"),
             F.col("o_custkey").alias("cust_id"),
         )
         home_goals, away_goals = F.col("home_score_current"), F.col("away_score_current")
@@ -155,6 +156,11 @@ class Inputs:
         text = {f"{s}_value_text": F.col(f"{s}_value_numeric").cast("double").cast("string") for s in ("home", "away")}
         return compare_sides(rows.withColumns(text))
 
+    @written
+    def full_stats(self) -> DataFrame:
+        """The bronze statistics, from the documents."""
+        return bronze.full_stats_data(self.stats_documents, self.matches, stage_path=scratch_path(self.spark, "stage"))
+
     # --- silver and gold relations -----------------------------------------
 
     @cached_property
@@ -163,14 +169,16 @@ class Inputs:
 
     @cached_property
     def staged_stats(self) -> DataFrame:
-        return silver.staging_stats(self.stats, self.staged)
+        return silver.staging_stats(self.full_stats, self.staged)
 
     @cached_property
     def fact(self) -> DataFrame:
         return silver.fact_match(self.staged)
 
-    def team_match(self, metrics: list[str] = METRICS) -> DataFrame:
-        return silver.fact_team_match(self.stats, self.staged, name_columns(metrics))
+    def team_match(self, metrics: list[str] | None = None) -> DataFrame:
+        """Without ``metrics`` the columns are those of the keys that the statistics hold."""
+        columns = metric_columns(self.stats, "statistic_key", "statistic_name") if metrics is None else name_columns(metrics)
+        return silver.fact_team_match(self.stats, self.staged, columns)
 
     def sides(self, metrics: list[str] = METRICS) -> DataFrame:
         return appearances.appearances(self.fact, self.stats, metrics)

@@ -146,7 +146,8 @@ def _(i: Inputs) -> DataFrame:
 @query(
     "stage_incremental",
     sql(
-        f"""select {STAGED_COLUMNS} from staged where season_id < 1999 or start_timestamp > (select max(start_timestamp) from staged where season_id < 1999)"""
+        f"""select {STAGED_COLUMNS}, case when injury_time_2 is not null then start_timestamp + interval 1 hour end as current_period_start_timestamp
+        from staged where season_id < 1999 or start_timestamp > (select max(start_timestamp) from staged where season_id < 1999)"""
     ),
 )
 def _(i: Inputs) -> DataFrame:

@@ -28,7 +28,13 @@ STAGED_COLUMNS = (
 )
 
 
-@query("staging_matches", sql(f"select {STAGED_COLUMNS} from staged"))
+@query(
+    "staging_matches",
+    sql(
+        f"""select {STAGED_COLUMNS}, case when injury_time_2 is not null then start_timestamp + interval 1 hour end as current_period_start_timestamp
+        from staged"""
+    ),
+)
 def _(i: Inputs) -> DataFrame:
     return i.staged
 
@@ -48,8 +54,13 @@ _STAT_VALUES = """
 @query(
     "staging_stats",
     sql(
-        f"""select match_id, period, group_name, statistic_key, statistic_name, statistics_type, value_type, {_STAT_VALUES}
-        from stats where match_id in (select match_id from staged)"""
+        f"""select s.match_id, 202 as tournament_id, m.season_id, s.period, group_name, statistic_key, statistic_name, statistics_type, value_type, {_STAT_VALUES},
+          row_number() over (partition by s.match_id, s.period, group_name order by statistic_key) as stat_order_in_group,
+          count(*) over (partition by s.match_id, s.period, group_name) as stats_count_in_group,
+          c.total_statistics_count, c.periods_count, c.groups_count, count(*) over (partition by s.match_id, s.period) as statistics_in_period
+        from stats s join staged m on m.match_id = s.match_id
+        join (select match_id, count(*) as total_statistics_count, count(distinct period) as periods_count, count(distinct group_name) as groups_count
+              from stats group by match_id) c on c.match_id = s.match_id"""
     ),
 )
 def _(i: Inputs) -> DataFrame:

@@ -127,13 +127,13 @@ def _(i: Inputs) -> DataFrame:
 _SEASON = "(year(o_orderdate) * 100 + month(o_orderdate))::int"
 _YEAR_LABEL = "substr(season_id::varchar, 3, 2) || '/' || lpad(((season_id // 100 + 1) % 100)::varchar, 2, '0')"
 _MANIFESTS = f"""(select {_SEASON} as season_id, strftime(o_orderdate, '%Y-%m-%d') as date, count(*) filter (o_orderstatus = 'F') as record_count
-  from orders where o_orderdate >= '1996-01-01' group by 1, 2)"""
+  from orders group by 1, 2)"""
 _KNOWN = f"(select season_id, 'Season ' || season_id as season_name, {_YEAR_LABEL} as season_year from (select distinct {_SEASON} as season_id from orders) where season_id % 100 <> 12)"
 _COMPLETENESS = f"""select coalesce(k.season_id, m.season_id) as season_id, ifnull(season_name, 'Unknown') as season_name, ifnull(season_year, 'Unknown') as season_year,
-  case when ifnull(found, 0) = 0 then 'MISSING' when found * 100 >= 95 * 60 then 'COMPLETE' when found * 100 >= 75 * 60 then 'SUBSTANTIAL'
-    when found * 100 >= 25 * 60 then 'PARTIAL' else 'MINIMAL' end as status,
-  m.season_id is not null as in_bronze, k.season_id is not null as in_api, ifnull(found, 0)::bigint as matches_found, 60 as expected_matches,
-  {rnd("100 * ifnull(found, 0)", "60", 1)} as completion_percentage, ifnull(dates, 0) as unique_dates, ifnull(batches, 0) as total_batches, earliest, latest,
+  case when ifnull(found, 0) = 0 then 'MISSING' when found * 100 >= 95 * 306 then 'COMPLETE' when found * 100 >= 75 * 306 then 'SUBSTANTIAL'
+    when found * 100 >= 25 * 306 then 'PARTIAL' else 'MINIMAL' end as status,
+  m.season_id is not null as in_bronze, k.season_id is not null as in_api, ifnull(found, 0)::bigint as matches_found, 306 as expected_matches,
+  {rnd("100 * ifnull(found, 0)", "306", 1)} as completion_percentage, ifnull(dates, 0) as unique_dates, ifnull(batches, 0) as total_batches, earliest, latest,
   ifnull(empties, 0) as quality_issues
   from {_KNOWN} k full join (select season_id, sum(record_count) as found, count(*) as batches, count(distinct date) as dates, min(date) as earliest,
     max(date) as latest, count(*) filter (record_count = 0) as empties from {_MANIFESTS} group by season_id) m on k.season_id = m.season_id"""
@@ -144,7 +144,7 @@ def _completeness(i: Inputs) -> DataFrame:
     orders = i.table("orders").withColumns(
         {"season_id": (F.year(day) * 100 + F.month(day)).cast("int"), "date": F.date_format(day, "yyyy-MM-dd")}
     )
-    manifests = orders.where("o_orderdate >= timestamp_ntz'1996-01-01'").groupBy("season_id", "date").agg(
+    manifests = orders.groupBy("season_id", "date").agg(
         F.count_if(F.col("o_orderstatus") == "F").alias("record_count")
     )
     text = F.col("season_id").cast("string")
@@ -153,7 +153,7 @@ def _completeness(i: Inputs) -> DataFrame:
         "season_id", F.concat(F.lit("Season "), text).alias("season_name"),
         F.concat(F.substring(text, 3, 2), F.lit("/"), following).alias("season_year"),
     )
-    return R.season_completeness(manifests, known, expected=60)
+    return R.season_completeness(manifests, known, expected=306)
 
 
 @query("season_completeness", _COMPLETENESS)
@@ -268,11 +268,11 @@ def _(i: Inputs) -> DataFrame:
     sql(
         f"""select coverage_type, count(*) as matches_count, {rnd("100 * count(*)", "sum(count(*)) over ()", 2)} as percentage
         from (select case when count(distinct period) = 3 then 'Complete (ALL + 1ST + 2ND)' when max(period) = 'ALL' and min(period) = 'ALL' then 'Only ALL period' else 'Partial' end as coverage_type
-          from stats where group_name = 'Shots' or period = 'ALL' group by match_id) group by coverage_type"""
+          from stats group by match_id) group by coverage_type"""
     ),
 )
 def _(i: Inputs) -> DataFrame:
-    return R.period_coverage_type(i.stats.where("group_name = 'Shots' or period = 'ALL'"))
+    return R.period_coverage_type(i.stats)
 
 
 @query(
@@ -300,13 +300,13 @@ def _(i: Inputs) -> DataFrame:
 @query(
     "report_id_overlap",
     """select 'nation_key' as id_column, count(*) filter (a and not b) as only_first, count(*) filter (b and not a) as only_second, count(*) filter (a and b) as common
-      from (select n_nationkey in (select c_nationkey from customer where c_mktsegment = 'BUILDING') as a, n_nationkey in (select s_nationkey from supplier) as b from nation)
+      from (select n_nationkey in (select c_nationkey from customer) as a, n_nationkey in (select s_nationkey from supplier) as b from nation)
     union all select 'id', count(*) filter (a and not b), count(*) filter (b and not a), count(*) filter (a and b)
       from (select coalesce(c_custkey, s_suppkey) as id, c_custkey is not null as a, s_suppkey is not null as b
-        from (select c_custkey from customer where c_mktsegment = 'BUILDING') full join supplier on c_custkey = s_suppkey)""",
+        from (select c_custkey from customer) full join supplier on c_custkey = s_suppkey)""",
 )
 def _(i: Inputs) -> DataFrame:
-    customers = i.table("customer").where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_nationkey").alias("nation_key"), F.col("c_custkey").alias("id"))
+    customers = i.table("customer").select(F.col("c_nationkey").alias("nation_key"), F.col("c_custkey").alias("id"))
     suppliers = i.table("supplier").select(F.col("s_nationkey").alias("nation_key"), F.col("s_suppkey").alias("id"))
     return R.id_overlap(customers, suppliers, ["nation_key", "id"])
 

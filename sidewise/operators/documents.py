@@ -162,42 +162,8 @@ def compare_sides(df: DataFrame) -> DataFrame:
     )
 
 
-# Largest match, in rows, whose counts are taken by windows inside one task.
-WINDOW_ROWS = 100_000
-
-
-def largest_match(flat: DataFrame) -> int:
-    """Rows of the largest match; only ids are read and partial counts shuffled."""
-    sizes = flat.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
-def with_group_counts(flat: DataFrame, largest: int | None = None) -> DataFrame:
-    """Order and size inside the group, and counts per match and per period.
-
-    Where the ``largest`` match is known to be small, as it is when every match
-    has one document, all counts are windows over one exchange by match.
-    Otherwise large groups are split.
-    """
-    if largest is None or largest > WINDOW_ROWS:
-        return _split_group_counts(flat)
-    in_match, in_period = W.partitionBy("match_id"), W.partitionBy("match_id", "period")
-    in_group = W.partitionBy("match_id", "period", "group_name")
-    rows = F.count(F.lit(1))
-    return flat.repartition("match_id").withColumns(
-        {
-            "stat_order_in_group": F.row_number().over(in_group.orderBy("statistic_key", "statistic_name")).cast("bigint"),
-            "stats_count_in_group": rows.over(in_group),
-            "statistics_in_period": rows.over(in_period),
-            "total_statistics_count": rows.over(in_match),
-            "periods_count": F.size(F.collect_set("period").over(in_match)).cast("bigint"),
-            "groups_count": F.size(F.collect_set("group_name").over(in_match)).cast("bigint"),
-        }
-    )
-
-
-def _split_group_counts(flat: DataFrame) -> DataFrame:
-    """Counts for matches of any size.
+def with_group_counts(flat: DataFrame) -> DataFrame:
+    """Order and size inside the group, and counts per match and per period, for matches of any size.
 
     One pre-aggregation at the grain of (group, first letters of the key) feeds
     every count through windows over that small relation, and its offsets let
@@ -329,19 +295,21 @@ def validation_summary(
     return counted.withColumn("validation_status", status)
 
 
-def json_shape_profile(df: DataFrame, json_col: str, depth: int = 3) -> DataFrame:
+def json_shape_profile(df: DataFrame, json_col: str, depth: int | None = None) -> DataFrame:
     """Paths of the documents with value type, number of rows and the largest size.
 
-    Objects are opened level by level down to ``depth``; sizes count the keys of
-    an object or the items of an array.
+    Objects are opened level by level until none is left, or down to ``depth``;
+    sizes count the keys of an object or the items of an array.
     """
-    if depth < 1:
+    if depth is not None and depth < 1:
         raise ValueError("depth must be positive")
     members = "map<string,variant>"
     level = df.select(F.lit("$").alias("path"), F.try_parse_json(json_col).alias("v"))
     levels = []
-    for _ in range(depth):
+    while depth is None or len(levels) < depth:
         opened = level.select("path", F.explode(F.try_variant_get("v", "$", members)))
+        if depth is None and levels and opened.isEmpty():
+            break
         level = opened.select(F.concat("path", F.lit("."), "key").alias("path"), F.col("value").alias("v"))
         size = F.coalesce(
             F.size(F.try_variant_get("v", "$", members)), F.size(F.try_variant_get("v", "$", "array<variant>"))

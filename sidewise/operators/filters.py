@@ -81,24 +81,25 @@ def scan_cutoff_page(
     seconds: str,
     cutoff: str,
     threshold: float = 0.8,
-    max_pages: int = 25,
+    max_pages: int | None = None,
 ) -> DataFrame:
     """New rows of the pages a newest-first scan would visit.
 
     Pages are numbered from 0.  The scan ends after the first page with mostly
-    old rows, before the first empty page, or after ``max_pages``.  The decision
-    needs one count per page among the first ``max_pages``.
+    old rows or before the first page without rows; ``max_pages`` may end it
+    earlier.  One count per page decides.
     """
-    scanned = df.where(F.col(page).between(0, max_pages - 1))
+    scanned = df.where(F.col(page) >= 0)
+    if max_pages is not None:
+        scanned = scanned.where(F.col(page) < max_pages)
     stops = page_stops(scanned, page, seconds, cutoff, threshold)
-    # At most max_pages rows reach this aggregate.
-    seen = stops.agg(
-        F.min(F.when(F.col("stops"), F.col(page))).alias("stop_page"),
-        F.sort_array(F.collect_set(page)).alias("pages"),
-    )
-    first_gap = F.expr(f"try_element_at(filter(sequence(0, {max_pages}), p -> not array_contains(pages, p)), 1)")
-    last = seen.select(F.least(F.coalesce("stop_page", F.lit(max_pages)), first_gap - 1).alias("last_page"))
-    return filter_newer_than(scanned.where(F.col(page) <= last.scalar()), seconds, cutoff)
+    stop = stops.where("stops").agg(F.min(page).alias("stop_page"))
+    # The first page without rows is page 0 or follows one with rows.
+    following = stops.select((F.col(page) + 1).alias("next_page"))
+    following = following.unionByName(df.sparkSession.range(1).select(F.col("id").cast(following.schema[0].dataType).alias("next_page")))
+    gap = following.join(stops, F.col("next_page") == F.col(page), "left_anti").agg(F.min("next_page").alias("gap"))
+    last = F.coalesce(stop.scalar(), F.col(page))
+    return filter_newer_than(scanned.where((F.col(page) <= last) & (F.col(page) < gap.scalar())), seconds, cutoff)
 
 
 def stage_filter(matches: DataFrame, stats: DataFrame, key: str = "match_id") -> DataFrame:

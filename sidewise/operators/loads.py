@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from .joins import missing_from
 from .ranking import dedupe_latest
 
-MAX_TOUCHED_PARTITIONS = 10_000
-
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
     """Source rows to append: key not yet loaded, first record of the batch wins."""
@@ -114,18 +112,17 @@ def upsert_partitions(
 ) -> int:
     """Upsert into a partitioned parquet table; returns the number of rewritten partitions.
 
-    The partition columns must depend on the key.  The list of touched
-    partitions prunes the read of the target, and dynamic overwrite swaps
-    exactly those partitions when the job commits.
+    The partition columns must depend on the key.  A semi join on the touched
+    partitions, which prunes the scan of the target at run time, leaves only their
+    rows, and dynamic overwrite swaps exactly those partitions when the job commits.
     """
-    touched = source.select(*partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(touched) > MAX_TOUCHED_PARTITIONS:
-        raise ValueError("the batch touches too many partitions; rewrite the table instead")
-    if not touched:
+    touched = source.select(*partition_by).distinct()
+    rewritten = touched.count()
+    if not rewritten:
         return 0
     current = spark.read.schema(source.schema).parquet(path)
-    in_scope = _any([_all([F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in touched])
-    merged = merge_upsert(current.where(in_scope), source, keys, order_by)
+    in_scope = _all([current[c].eqNullSafe(touched[c]) for c in partition_by])
+    merged = merge_upsert(current.join(touched, in_scope, "left_semi"), source, keys, order_by)
     (
         merged.hint("rebalance", *partition_by)
         .write.mode("overwrite")
@@ -133,7 +130,7 @@ def upsert_partitions(
         .partitionBy(*partition_by)
         .parquet(path)
     )
-    return len(touched)
+    return rewritten
 
 
 def _all(conditions: Sequence[Column]) -> Column:
@@ -142,10 +139,3 @@ def _all(conditions: Sequence[Column]) -> Column:
         out = out & c
     return out
 
-
-def _any(conditions: Sequence[Column]) -> Column:
-    """Balanced OR, so that a long list does not nest deeply."""
-    if len(conditions) == 1:
-        return conditions[0]
-    half = len(conditions) // 2
-    return _any(conditions[:half]) | _any(conditions[half:])

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.documents import (
-    compare_sides, explode_stats, flatten_match_json, largest_match, with_group_counts,
+    compare_sides, explode_stats, flatten_match_json, with_group_counts,
 )
 from ..operators.joins import missing_from
-from ..operators.loads import hwm_filter, merge_upsert
+from ..operators.loads import hwm_filter
 
 STATS_KEY = ["match_id", "period", "group_name", "statistic_key"]
 
@@ -26,10 +26,6 @@ def full_matches_data(raw_matches: DataFrame, loaded: DataFrame | None = None, m
     return hwm_filter(rows, loaded, "start_timestamp", mode, ["match_id"])
 
 
-def merge_matches(loaded: DataFrame, fresh: DataFrame) -> DataFrame:
-    return merge_upsert(loaded, fresh, ["match_id"], [F.desc("ingestion_timestamp")])
-
-
 def season_of_match(matches: DataFrame) -> DataFrame:
     return matches.groupBy("match_id").agg(F.min("season_id").alias("season_id"))
 
@@ -45,14 +41,11 @@ def full_stats_data(
 
     The document text is not carried along: exploded rows would repeat it a
     hundred times; ``match_id`` leads back to the raw row.  With ``stage_path``
-    the exploded rows are written there once, so no document is parsed twice and
-    the largest match is measured to choose how counts are taken.
+    the exploded rows are written there once, so no document is parsed twice.
     """
-    largest = None
     docs = raw_stats if loaded is None else missing_from(raw_stats, loaded, ["match_id"])
     flat = compare_sides(explode_stats(docs, keep=["match_id", "tournament_id"], strict=strict))
     if stage_path is not None:
         flat.write.mode("overwrite").parquet(stage_path)
         flat = raw_stats.sparkSession.read.schema(flat.schema).parquet(stage_path)
-        largest = largest_match(flat)
-    return with_group_counts(flat, largest).join(season_of_match(matches), "match_id", "left")
+    return with_group_counts(flat).join(season_of_match(matches), "match_id", "left")

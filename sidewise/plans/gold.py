@@ -652,7 +652,7 @@ def mart_league_averages(fact_match: DataFrame, totals: DataFrame) -> DataFrame:
 
 def mart_upcoming_fixtures(upcoming: DataFrame) -> DataFrame:
     """Newest extraction of each match, defaults filled, incomplete rows dropped."""
-    latest = dedupe_latest(upcoming, ["match_id"], [F.desc("extracted_at")])
+    latest = dedupe_latest(upcoming, ["match_id"], [F.desc("extracted_at"), F.xxhash64(*upcoming.columns)])
     rows = latest.select(
         "match_id",
         "match_slug",

@@ -34,24 +34,20 @@ STAGING_STAT_COLUMNS = [
 ]
 
 
-def _existing(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    return [c for c in columns if c in df.columns]
-
-
 def staging_matches(matches: DataFrame, stats: DataFrame) -> DataFrame:
-    return stage_filter(matches, stats).select(*_existing(matches, STAGING_MATCH_COLUMNS))
+    return stage_filter(matches, stats).select(*STAGING_MATCH_COLUMNS)
 
 
 def staging_stats(stats: DataFrame, staged: DataFrame) -> DataFrame:
-    """Statistics of staged matches only."""
+    """Statistics of staged matches only; all columns must be there."""
     kept = stats.join(staged.select("match_id"), "match_id", "left_semi")
-    return kept.select(*_existing(stats, STAGING_STAT_COLUMNS))
+    return kept.select(*STAGING_STAT_COLUMNS)
 
 
 def stage_incremental(staged: DataFrame, matches: DataFrame, stats: DataFrame, mode: str = "hwm") -> DataFrame:
     """Staging after adding the new matches; a key that is already there stays."""
     fresh = hwm_filter(staging_matches(matches, stats), staged, "start_timestamp", mode, ["match_id"], "1900-01-01")
-    return insert_if_absent(staged, fresh.select(*staged.columns), ["match_id"], [F.asc("start_timestamp")])
+    return insert_if_absent(staged, fresh.select(*staged.columns), ["match_id"], [F.asc("start_timestamp"), F.xxhash64(*staged.columns)])
 
 
 def dim_date(staged: DataFrame, padded: bool = False) -> DataFrame:

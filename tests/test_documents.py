@@ -30,11 +30,10 @@ def test_flatten_has_all_columns(spark):
     assert len(D.flatten_match_json(spark.createDataFrame([("{}",)], "data string")).columns) == 44
 
 
-@pytest.mark.parametrize("largest", [None, 100])
-def test_counts_in_groups_match_brute_force(spark, largest):
+def test_counts_in_groups_match_brute_force(spark):
     rows = [(m, p, g, f"k{n:03d}", "name") for m in (1, 2) for p in ("ALL", "1ST") for g in ("A", "B") for n in range(7 * m)]
     flat = spark.createDataFrame(rows, "match_id int, period string, group_name string, statistic_key string, statistic_name string")
-    got = D.with_group_counts(flat, largest).collect()
+    got = D.with_group_counts(flat).collect()
     assert len(got) == len(rows)
     for r in got:
         assert r.stat_order_in_group == int(r.statistic_key[1:]) + 1
@@ -95,3 +94,16 @@ def test_stream_replay_adds_nothing(spark):
         ingest.stream_upsert(stream, target, progress, ["id"], ["v"]).awaitTermination()
     rows = spark.read.parquet(target).select("id", "v").collect()
     assert sorted(map(tuple, rows)) == [(1, 0), (2, 0), (3, 1)]
+
+
+def test_counts_of_one_very_large_match(spark):
+    rows = spark.range(120_000).selectExpr(
+        "1 as match_id", "'ALL' as period", "'A' as group_name", "lpad(cast(id as string), 7, '0') as statistic_key", "'n' as statistic_name"
+    )
+    got = D.with_group_counts(rows).selectExpr("min(stats_count_in_group) as n", "count_if(stat_order_in_group = int(statistic_key) + 1) as ordered").first()
+    assert (got.n, got.ordered) == (120_000, 120_000)
+
+
+def test_shape_profile_opens_every_level(spark):
+    df = spark.createDataFrame([('{"a":{"b":{"c":{"d":{"e":1}}}}}',)], "data string")
+    assert {r.path for r in D.json_shape_profile(df, "data").collect()} == {"$.a", "$.a.b", "$.a.b.c", "$.a.b.c.d", "$.a.b.c.d.e"}

@@ -47,6 +47,12 @@ def test_scan_ends_before_an_empty_page_and_at_the_limit(spark):
     assert P.scan_cutoff_page(pages(spark, rows), "page", "seconds", CUTOFF, max_pages=4).count() == 4
 
 
+def test_scan_has_no_limit_of_its_own(spark):
+    rows = [(n, n, MIDNIGHT + DAY) for n in range(60)]
+    assert P.scan_cutoff_page(pages(spark, rows), "page", "seconds", CUTOFF).count() == 60
+    assert P.scan_cutoff_page(pages(spark, rows[1:]), "page", "seconds", CUTOFF).count() == 0
+
+
 def test_stage_filter_null_rules(spark):
     matches = spark.createDataFrame(
         [(1, "finished", "Ended"), (2, "finished", "Removed"), (3, "finished", "Removed"), (4, None, "Ended"),
