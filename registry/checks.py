@@ -208,3 +208,27 @@ def _(i: Inputs) -> DataFrame:
 )
 def _(i: Inputs) -> DataFrame:
     return Q.staging_violations(i.staged, i.staged_stats)
+
+
+@query(
+    "gate_bronze_present",
+    sql(
+        """select 'stored' as relations, case when (select count(*) from matches) > 0 and (select count(*) from stats) > 0 then 'passed' else 'empty' end as outcome
+        union all select 'emptied', 'table bronze_none is empty' from (select count(*) as n from matches where match_id < 0) where n = 0
+        union all select 'absent', 'table bronze_absent does not exist'"""
+    ),
+)
+def _(i: Inputs) -> DataFrame:
+    """The stored relations, one without rows, and one that does not exist."""
+    spark = i.spark
+    i.matches.createOrReplaceTempView("bronze_matches")
+    i.stats.createOrReplaceTempView("bronze_stats")
+    i.matches.where("match_id < 0").createOrReplaceTempView("bronze_none")
+    outcomes = []
+    for case, last in (("stored", "bronze_stats"), ("emptied", "bronze_none"), ("absent", "bronze_absent")):
+        try:
+            Q.gate_present(spark, ["bronze_matches", last])
+            outcomes.append((case, "passed"))
+        except Q.QualityError as error:
+            outcomes.append((case, str(error)))
+    return spark.createDataFrame(outcomes, "relations string, outcome string")

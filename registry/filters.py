@@ -147,3 +147,14 @@ def _(i: Inputs) -> DataFrame:
         "p_partkey", F.col("p_type").ilike("econ%").alias("is_economy"), F.col("p_brand").isin("Brand#1", "Brand#2").alias("chosen"),
         F.col("p_size").between(5, 15).alias("mid_size"), (F.col("p_name") != "small ring").alias("other_name"),
     )
+
+
+@query(
+    "validate_params",
+    """select event_id, case when user_id % 5 <= 0 then 'tournament_id must be positive, got ' || (user_id % 5)
+              when event_id % 3 - 1 <= 0 then 'max_pages must be positive, got ' || (event_id % 3 - 1) end as problem from events""",
+)
+def _(i: Inputs) -> DataFrame:
+    """Every event as a request; some ask for tournament 0 or for no pages."""
+    pages = F.col("event_id") % 3 - 1
+    return i.events.select("event_id", P.param_problem("tournament_id", "season_id", pages).alias("problem"))

@@ -155,3 +155,29 @@ def _(i: Inputs) -> DataFrame:
 
     staged = i.staged.where(F.col("season_id") < 1999)
     return silver.stage_incremental(staged, i.matches, i.stats)
+
+
+@query(
+    "schema_guard",
+    f"""with said(batch, outcome) as (values ('same', 'loaded'), ('narrow', 'schema changed: missing date'),
+        ('wide', 'schema changed: unexpected page'), ('retyped', 'schema changed: ts: date instead of timestamp_ntz'))
+    select batch, outcome, event_type, case when outcome = 'loaded' then count(*) else 0 end as n_loaded
+    from (select {_SELECT} from events where not {_OLD}) e, said group by batch, outcome, event_type""",
+)
+def _(i: Inputs) -> DataFrame:
+    """Batches of one shape and of changed shapes; only the first may be loaded."""
+    fresh = i.events.where("ts >= timestamp_ntz'2024-01-06'").select(*_COLUMNS)
+    batches = {
+        "same": fresh, "narrow": fresh.drop("date"), "wide": fresh.withColumn("page", F.lit(1)),
+        "retyped": fresh.withColumn("ts", F.to_date("ts")),
+    }
+    target, out = i.events.select(*_COLUMNS), None
+    for name, batch in batches.items():
+        try:
+            L.schema_guard(target, batch)
+            outcome, n = "loaded", F.count(F.lit(1))
+        except ValueError as error:
+            outcome, n = str(error), F.lit(0).cast("bigint")
+        rows = batch.groupBy(F.lit(name).alias("batch"), F.lit(outcome).alias("outcome"), "event_type").agg(n.alias("n_loaded"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -25,6 +25,15 @@ def validate_params(tournament_id: int, season_id: int, max_pages: int) -> None:
             raise ValueError(f"{label} must be positive, got {value}")
 
 
+def param_problem(tournament: Column | str, season: Column | str, pages: Column | str) -> Column:
+    """The rule of ``validate_params`` over a table of requests: the first problem of a row, or null."""
+    out = F.lit(None).cast("string")
+    for label, value in reversed((("tournament_id", as_col(tournament)), ("season_id", as_col(season)), ("max_pages", as_col(pages)))):
+        text = F.coalesce(value.cast("string"), F.lit("nothing"))
+        out = F.when(value > 0, out).otherwise(F.concat(F.lit(f"{label} must be positive, got "), text))
+    return out
+
+
 def validate_cutoff(text: str, today: date) -> date:
     try:
         cutoff = date.fromisoformat(text)
