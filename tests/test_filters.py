@@ -72,3 +72,10 @@ def test_argument_checks():
     for bad in ("2024-05-02", "30.04.2024"):
         with pytest.raises(ValueError):
             P.validate_cutoff(bad, today)
+
+
+def test_param_problem_names_the_first_fault(spark):
+    rows = spark.createDataFrame([(1, 2, 3), (0, 2, 0), (1, None, 1), (1, 2, -1)], "t int, s int, p int")
+    assert [r[0] for r in rows.select(P.param_problem("t", "s", "p")).collect()] == [
+        None, "tournament_id must be positive, got 0", "season_id must be positive, got nothing", "max_pages must be positive, got -1",
+    ]

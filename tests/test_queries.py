@@ -7,6 +7,8 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
+#: Queries whose SQL gives no rows at this scale either.
+MAY_BE_EMPTY = ["get_manifest"]
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
-    verdict = check_queries.compare(spark, con, name, SF).replace("FAIL note: no rows", "ok")
+    verdict = check_queries.compare(spark, con, name, SF)
+    if name in MAY_BE_EMPTY:
+        verdict = verdict.replace("FAIL note: no rows", "ok")
     assert verdict.startswith(("ok", "rows-only")), verdict
 
 
