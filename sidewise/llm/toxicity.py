@@ -130,29 +130,43 @@ _SCORED = pa.struct(
 )
 
 
+class _Weights(dict):
+    """Weights of the tokens met so far; a new token's is worked out when it is asked for."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, token: str) -> float:
+        weight = self[token] = self.model.weight(token)
+        return weight
+
+
 def scored(text: Column, model: Model) -> Column:
     """Struct of score, n_sentences and offending sentences (start, end, score of at least one half)."""
-    memo: dict[str, float] = {}
+    # Filled where the function runs, once a worker.
+    memos: list[_Weights] = []
 
     @on_arrow(_SCORED)
     def score_text(batch: pa.Array) -> pa.Array:
+        if not memos:
+            memos.append(_Weights(model))
+        memo = memos[0]
+        weight_of = memo.__getitem__
         out = []
-        if len(memo) > REMEMBERED:
-            memo.clear()
         for content in batch.to_pylist():
-            for token in set(content.split()).difference(memo):
-                memo[token] = model.weight(token)
-            total, n, offending = 0.0, 0, []
-            for start, end in sentences(content):
-                n += 1
-                # A sentence border may cut a token of the text, so its pieces are looked up anew.
-                weight = sum(memo[t] if t in memo else model.weight(t) for t in content[start:end].split())
+            if len(memo) > REMEMBERED:
+                memo.clear()
+            spans = sentences(content)
+            total, offending = 0.0, []
+            for start, end in spans:
+                weight = sum(map(weight_of, content[start:end].split()))
                 if weight:
                     z = NO_EVIDENCE + weight
                     total += float(_risk(z))
                     if z >= 0:
                         offending.append({"start": start, "end": end, "score": float(1 / (1 + np.exp(-z)))})
-            out.append({"score": float(-np.expm1(-total)), "n_sentences": n, "offending": offending})
+            out.append({"score": float(-np.expm1(-total)), "n_sentences": len(spans), "offending": offending})
         return pa.array(out, _SCORED)
 
     return score_text(text)
