@@ -171,4 +171,4 @@ def _(i: Inputs) -> DataFrame:
 
 @query("match_stats_pivot", sql("select match_id, max(case when statistic_key = 'fouls' then home_cents end) / 100.0::double as home_stat_fouls, max(case when statistic_key = 'fouls' then away_cents end) / 100.0::double as away_stat_fouls from stats where period = '1ST' and statistic_key = 'fouls' group by match_id"))
 def _(i: Inputs) -> DataFrame:
-    return silver.match_stats(i.stats, name_columns(["fouls"]), period="1ST", listed_only=True)
+    return silver.match_stats(i.side_values, name_columns(["fouls"]), period="1ST", listed_only=True)

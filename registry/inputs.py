@@ -7,7 +7,7 @@ so the inputs grow with the tables.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +33,16 @@ def pick(names: list[str], index: Column) -> Column:
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def written(build):
+def _write_parquet(df: DataFrame, path: str) -> None:
+    df.write.parquet(path)
+
+
+def written(build, write=_write_parquet):
     """A relation kept as a parquet table in the shared folder of the session.
 
-    These are the raw and bronze tables that all models read.  The first use
-    writes the table, later uses of the same data directory read it.
+    These are the raw, bronze and long silver tables that all models read.  The
+    first use writes the table, later uses of the same data directory read it.
+    ``write`` stores what ``build`` gives.
     """
     name = build.__name__
 
@@ -45,7 +50,7 @@ def written(build):
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _WRITTEN:
             path = scratch_path(self.spark, name)
-            build(self).write.parquet(path)
+            write(build(self), path)
             _WRITTEN[key] = path
         return self.spark.read.parquet(_WRITTEN[key])
 
@@ -53,7 +58,7 @@ def written(build):
     return property(relation)
 
 
-WRITTEN_RELATIONS = ["matches", "stats", "match_documents", "stats_documents", "full_stats", "upcoming_documents"]
+WRITTEN_RELATIONS = ["matches", "stats", "side_values", "match_documents", "stats_documents", "full_stats", "upcoming_documents"]
 
 
 class Inputs:
@@ -163,6 +168,11 @@ class Inputs:
 
     # --- silver and gold relations -----------------------------------------
 
+    @partial(written, write=silver.write_side_values)
+    def side_values(self) -> DataFrame:
+        """The long silver table, stored by period from the statistics."""
+        return self.stats
+
     @cached_property
     def staged(self) -> DataFrame:
         return silver.staging_matches(self.matches, self.stats)
@@ -178,13 +188,13 @@ class Inputs:
     def team_match(self, metrics: list[str] | None = None) -> DataFrame:
         """Without ``metrics`` the columns are those of the keys that the statistics hold."""
         columns = metric_columns(self.stats, "statistic_key", "statistic_name") if metrics is None else name_columns(metrics)
-        return silver.fact_team_match(self.stats, self.staged, columns)
+        return silver.fact_team_match(self.side_values, self.staged, columns)
 
     def sides(self, metrics: list[str] = METRICS) -> DataFrame:
-        return appearances.appearances(self.fact, self.stats, metrics)
+        return appearances.appearances(self.fact, self.side_values, metrics)
 
     def totals(self, metrics: list[str] = METRICS) -> DataFrame:
-        return appearances.season_totals(self.fact, self.stats, metrics)
+        return appearances.season_totals(self.fact, self.side_values, metrics)
 
     def form(self, codes: dict[str, int] = gold.STANDARD_CODES) -> DataFrame:
         return gold.mart_team_form(self.fact, codes)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import STAT_TYPE
 from ..operators.pivot import name_columns, with_columns_present
 from ..operators.sides import side_union
-from .silver import match_stats, side_values
+from .silver import match_stats
 
 # The statistics that the season rollups use, by theme.
 ATTACK_METRICS = [
@@ -62,15 +62,15 @@ def team_sides(fact_match: DataFrame) -> DataFrame:
     return side_union(played, _KEEP, _side("home", "away", 1, 2), _side("away", "home", 2, 1))
 
 
-def appearances(fact_match: DataFrame, stats: DataFrame, metrics: Sequence[str] = ALL_METRICS) -> DataFrame:
+def appearances(fact_match: DataFrame, values: DataFrame, metrics: Sequence[str] = ALL_METRICS) -> DataFrame:
     """Sides with their full-match statistics and the opponent's xG.
 
-    Statistics are pivoted per match, joined once on the match id, and only then
+    ``values`` is the long silver table.  Statistics are pivoted per match, joined once on the match id, and only then
     split into sides: the opponent's value is already in the row, and the join
     moves one row per match.  A match without statistics keeps NULLs.
     """
     columns = name_columns(metrics)
-    wide = match_stats(stats, columns, period="ALL", listed_only=True)
+    wide = match_stats(values, columns, period="ALL", listed_only=True)
     played = fact_match.where(F.col("status_type") == "finished").join(wide, "match_id", "left")
 
     def side(own: str, other: str, win: int, loss: int) -> dict[str, object]:
@@ -111,14 +111,14 @@ def _totals(long: DataFrame) -> DataFrame:
     return sums.groupBy("team_id", "season_id").agg(F.map_from_entries(F.collect_list(entry)).alias("totals"))
 
 
-def season_totals(fact_match: DataFrame, stats: DataFrame, metrics: Sequence[str] = ALL_METRICS) -> DataFrame:
-    """Season totals of full-match statistics straight from the long table.
+def season_totals(fact_match: DataFrame, values: DataFrame, metrics: Sequence[str] = ALL_METRICS) -> DataFrame:
+    """Season totals of full-match statistics straight from the long silver table.
 
     Sums, zero-filled means and means of non-zero values are all linear, so no
     per-match pivot is needed: a metric that appears in several groups is made
     unique per match, joined to its match, split into sides and summed.
     """
-    whole = side_values(stats).where((F.col("period") == "ALL") & F.col("metric").isin(list(metrics)))
+    whole = values.where((F.col("period") == "ALL") & F.col("metric").isin(list(metrics)))
     once = whole.groupBy("match_id", "metric").agg(
         F.max("home_value").alias("home_value"), F.max("away_value").alias("away_value")
     )

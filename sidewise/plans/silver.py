@@ -155,9 +155,11 @@ def with_stats_present(facts: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def side_values(stats: DataFrame) -> DataFrame:
-    """Per statistic its key, normal period and one value per side.
+    """The long silver table: per statistic its key, normal period and one value per side.
 
     Percentage statistics use the computed share of the side where there is one.
+    Facts and season totals read it as a stored table, so that their filters on
+    period and metric are on plain columns and reach the scan.
     """
     is_share = F.col("value_type").ilike("%percent%")
 
@@ -175,15 +177,24 @@ def side_values(stats: DataFrame) -> DataFrame:
     )
 
 
+def write_side_values(stats: DataFrame, path: str) -> None:
+    """Store the long silver table, a folder per period, rows ordered by metric in each file.
+
+    The rebalance hint splits a large period over many files and merges small ones.
+    """
+    values = side_values(stats).hint("rebalance", "period").sortWithinPartitions("period", "metric")
+    values.write.partitionBy("period").parquet(path)
+
+
 def match_stats(
-    stats: DataFrame, columns: Sequence[tuple[str, str]], period: str | None = None, listed_only: bool = False
+    values: DataFrame, columns: Sequence[tuple[str, str]], period: str | None = None, listed_only: bool = False
 ) -> DataFrame:
     """Statistics pivoted at match grain, ``home_*`` and ``away_*`` columns side by side.
 
-    ``listed_only`` reads just the listed metrics, so a match that has none of
-    them gives no row; use it where the result is left-joined.
+    ``values`` is the long silver table.  ``listed_only`` reads just the listed
+    metrics, so a match that has none of them gives no row; use it where the
+    result is left-joined.
     """
-    values = side_values(stats)
     keys = ["match_id", "period"]
     if period is not None:
         values, keys = values.where(F.col("period") == period), ["match_id"]
@@ -192,15 +203,15 @@ def match_stats(
     return agg_pivot(values, keys, "metric", {"home_": "home_value", "away_": "away_value"}, columns)
 
 
-def fact_team_match(stats: DataFrame, staged: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
-    """One row per (match, team, period), one column per metric.
+def fact_team_match(values: DataFrame, staged: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per (match, team, period), one column per metric of the long silver table.
 
     The long table is aggregated at match grain first, so half as many rows are
     shuffled and joined as when the sides are split before the pivot.
     """
     teams = staged.select("match_id", "home_team_id", "home_team_name", "away_team_id", "away_team_name")
     raw_keys = [raw for raw, _ in columns]
-    cells = pivot_map(side_values(stats), ["match_id", "period"], "metric", ["home_value", "away_value"], raw_keys)
+    cells = pivot_map(values, ["match_id", "period"], "metric", ["home_value", "away_value"], raw_keys)
     # Slots in column order, so that each output column is a plain array access.
     listed = F.array(*[F.lit(raw) for raw in raw_keys])
     slots = cells.select(

@@ -94,10 +94,16 @@ def test_totals_agree_between_long_and_wide(data):
 def test_duplicate_metric_in_two_groups_counts_once(spark, data):
     doubled = data.stats.unionByName(data.stats.withColumn("group_name", F.lit("other")))
     once = data.totals(["fouls"]).select("team_id", "season_id", F.col("totals")["fouls"]["total"].alias("t"))
-    twice = A.season_totals(data.fact, doubled, ["fouls"]).select("team_id", "season_id", F.col("totals")["fouls"]["total"].alias("t"))
+    twice = A.season_totals(data.fact, silver.side_values(doubled), ["fouls"]).select("team_id", "season_id", F.col("totals")["fouls"]["total"].alias("t"))
     assert once.exceptAll(twice).isEmpty() and twice.exceptAll(once).isEmpty()
 
 
+def test_period_and_metric_filters_reach_the_scan(data):
+    plan = plan_of(data.totals(["fouls", "passes"]))
+    assert "(period" in plan and "= ALL)]" in plan.split("PartitionFilters: ", 1)[1]
+    assert "In(metric, [fouls,passes])" in plan
+
+
 def test_gates(spark, data):
     Q.gate_staging(data.staged, data.staged_stats)
     with pytest.raises(Q.QualityError, match="Excluded statuses"):
