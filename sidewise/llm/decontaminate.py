@@ -1,9 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Benchmark items are taken in blocks of a bounded size.  For each block one pass over
-all documents finds its word n-grams, counts in how many documents each occurs, and
-cuts a window around places where several n-grams of one item lie together.  Windows
-that hold one of the item's rarest n-grams are aligned with the item.
+all documents finds its word n-grams and cuts a window around places where several
+n-grams of one item lie together.  All n-grams of an item are seeds, so copies of it
+in other documents change nothing; only windows that share too few words with the
+item to reach the score are not aligned with it.
 """
 
 from __future__ import annotations
@@ -16,13 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import on_arrow, stored, texts
+from .common import on_arrow, texts
 
 GRAM = 3
 #: Characters of benchmark text that are sent to the tasks at once.
 BLOCK_CHARS = 4_000_000
-#: Seeds of an item as a part of its n-grams: the rarest of those that occur.
-RARE_PART = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Score of an alignment over that of the unchanged item from which a document counts as contaminated.
 LEAST_SCORE = 0.5
@@ -53,6 +52,8 @@ class Block:
         self.owner = self.pairs[:, 1].astype(np.int64)
         self.lengths = np.array([len(ids) for _, ids in self.items], np.int64)
         self.distinct = np.bincount(self.owner, minlength=len(self.items))
+        #: The distinct words of each item and how often it has them.
+        self.counts = [np.unique(ids, return_counts=True) for _, ids in self.items]
         self.memo: dict[str, int] = {}
 
     def codes(self, ids: np.ndarray) -> np.ndarray:
@@ -70,20 +71,26 @@ class Block:
         ids = np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
         return ids[ids >= 0]
 
-    def find(self, text: str) -> tuple[list[int], list[dict]]:
-        """(distinct n-grams of the block in the text, windows around clusters of an item's n-grams)."""
+    def may_reach(self, nth: int, window: np.ndarray) -> bool:
+        """Whether the words that item and window share, each aligned as a match, would reach the score."""
+        words, times = self.counts[nth]
+        ordered = np.sort(window)
+        held = np.searchsorted(ordered, words, side="right") - np.searchsorted(ordered, words)
+        return np.minimum(times, held).sum() >= LEAST_SCORE * self.lengths[nth]
+
+    def find(self, text: str) -> list[dict]:
+        """Windows around clusters of an item's n-grams."""
         ids = self.numbered(text)
         if len(ids) < GRAM or not len(self.grams):
-            return [], []
+            return []
         known = ids > 0
         at = np.flatnonzero(known[:-2] & known[1:-1] & known[2:])
         if not len(at):
-            return [], []
+            return []
         codes = self.codes(ids)[at]
         gram = np.minimum(np.searchsorted(self.grams, codes), len(self.grams) - 1)
         hit = self.grams[gram] == codes
         at, gram = at[hit], gram[hit]
-        found = np.unique(gram).tolist()
         # Every hit once for each item that has the n-gram.
         times = self.last[gram] - self.first[gram]
         start = np.repeat(self.first[gram] - np.cumsum(times) + times, times)
@@ -93,16 +100,17 @@ class Block:
         order = np.lexsort((at[often], item[often]))
         item, at, gram = item[often][order], at[often][order], gram[often][order]
         if not len(item):
-            return found, []
+            return []
         cut = np.flatnonzero((np.diff(item) != 0) | (np.diff(at) > self.lengths[item[1:]])) + 1
         windows = []
         for some in np.split(np.arange(len(item)), cut):
-            nth, grams = int(item[some[0]]), np.unique(gram[some])
-            if len(grams) >= min(2, int(self.distinct[nth])):
+            nth = int(item[some[0]])
+            if len(np.unique(gram[some])) >= min(2, int(self.distinct[nth])):
                 reach = int(self.lengths[nth])
                 low, high = max(0, int(at[some[0]]) - reach), int(at[some[-1]]) + GRAM + reach
-                windows.append({"item": nth, "at": low, "words": ids[low:high].tolist(), "grams": grams.tolist()})
-        return found, windows
+                if self.may_reach(nth, ids[low:high]):
+                    windows.append({"item": nth, "at": low, "words": ids[low:high].tolist()})
+        return windows
 
 
 def _best(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
@@ -130,49 +138,39 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int, int]:
     return score / (MATCH * len(item)), j - back, j + 1
 
 
-_FOUND = pa.struct(
-    [
-        ("grams", pa.list_(pa.int32())),
-        ("windows", pa.list_(pa.struct([("item", pa.int32()), ("at", pa.int32()), ("words", pa.list_(pa.int32())), ("grams", pa.list_(pa.int32()))]))),
-    ]
-)
-_ALIGNED = pa.struct([("score", pa.float64()), ("start", pa.int32()), ("end", pa.int32())])
+_WINDOWS = pa.list_(pa.struct([("item", pa.int32()), ("at", pa.int32()), ("words", pa.list_(pa.int32()))]))
+_ALIGNED = pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("start", pa.int32()), ("end", pa.int32())])
 
 
 def _finder(block: Block):
-    @on_arrow(_FOUND)
-    def find_grams(text: pa.Array) -> pa.Array:
-        return pa.array([dict(zip(("grams", "windows"), block.find(t))) for t in text.to_pylist()], _FOUND)
+    @on_arrow(_WINDOWS)
+    def find_windows(text: pa.Array) -> pa.Array:
+        return pa.array([block.find(t) for t in text.to_pylist()], _WINDOWS)
+
+    return find_windows
 
-    return find_grams
 
+def _aligner(items: list[tuple[int, np.ndarray]]):
+    @on_arrow(_ALIGNED)
+    def align_items(item: pa.Array, window: pa.Array) -> pa.Array:
+        out = []
+        for nth, words in zip(item.to_pylist(), window.to_pylist()):
+            item_id, ids = items[nth]
+            out.append(dict(zip(("item_id", "score", "start", "end"), (item_id, *align(ids, np.array(words, np.int64))))))
+        return pa.array(out, _ALIGNED)
 
-@on_arrow(_ALIGNED)
-def aligned(item: pa.Array, window: pa.Array) -> pa.Array:
-    rows = (align(np.array(a, np.int64), np.array(b, np.int64)) for a, b in zip(item.to_pylist(), window.to_pylist()))
-    return pa.array([{"score": s, "start": a, "end": e} for s, a, e in rows], _ALIGNED)
+    return align_items
 
 
 def _search(rows: DataFrame, block: Block) -> DataFrame:
     """doc_id, item_id, score, first_word, last_word for the items of one block."""
     c, spark = F.col, rows.sparkSession
-    found = rows.select("doc_id", _finder(block)("text").alias("found")).select("doc_id", "found.*").where(F.size("grams") > 0)
-    found = stored(found, "grams")
-    frequency = found.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    gram_of = np.searchsorted(block.grams, block.pairs[:, 0])
-    pairs = spark.createDataFrame([(int(i), int(g)) for i, g in zip(block.owner, gram_of)], "item int, gram int")
-    # N-grams that occur nowhere find nothing.  The lists are no longer than an item.
-    seeds = pairs.join(frequency, "gram").groupBy("item").agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("ranked"))
-    rows = [(n, item, ids.tolist(), math.ceil(block.distinct[n] * RARE_PART)) for n, (item, ids) in enumerate(block.items)]
-    items = spark.createDataFrame(rows, "item int, item_id bigint, ids array<int>, n_seeds int").join(seeds, "item")
-    items = items.select("item", "item_id", "ids", F.transform(F.slice("ranked", F.lit(1), c("n_seeds")), lambda x: x["gram"]).alias("seeds"))
-    windows = found.select("doc_id", F.explode("windows").alias("w")).select("doc_id", "w.*")
-    windows = windows.join(items, "item").where(F.arrays_overlap("grams", "seeds"))
+    windows = rows.select("doc_id", F.explode(_finder(block)("text")).alias("w")).select("doc_id", "w.*")
     # Few bytes, much work: spread by number, not by size.
     windows = windows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    scored = windows.select("doc_id", "item_id", "at", aligned("ids", "words").alias("hit")).where(c("hit.score") >= LEAST_SCORE)
+    scored = windows.select("doc_id", "at", _aligner(block.items)("item", "words").alias("hit")).where(c("hit.score") >= LEAST_SCORE)
     best = F.max(F.struct(c("hit.score").alias("score"), (-c("at") - c("hit.start")).alias("first"), (c("at") + c("hit.end")).alias("last")))
-    return scored.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
+    return scored.groupBy("doc_id", c("hit.item_id").alias("item_id")).agg(best.alias("best")).select(
         "doc_id", "item_id", c("best.score").alias("score"), (-c("best.first")).alias("first_word"), c("best.last").alias("last_word")
     )
 

@@ -355,6 +355,31 @@ def test_decontamination_finds_copies_and_edits(spark, documents):
     assert decontaminate.contaminated(docs.limit(0), spark.createDataFrame(items, "item_id bigint, text string")).count() == 0
 
 
+def test_decontamination_of_whole_and_edited_copies_together(spark, documents):
+    rng, every = random.Random(12), sorted({w for _, t in documents for w in (t or "").split() if w.isalpha()})
+    parts = (0.15, 0.2, 0.2, 0.25, 0.3)
+    items = [(n, rng.sample(every, 40 + 10 * (n % 3))) for n in range(3 * len(parts))]
+    rows, clean = [], [t for _, t in documents if t][:10]
+    # Of each item one whole and one edited copy: spread words are replaced, 8 of 40 leave 14 of 38 n-grams.
+    for item, words in items:
+        edited, n = list(words), item % len(parts)
+        count = round(parts[n] * len(words))
+        for spot in rng.sample(range(len(words)), count) if n != 1 else [k * len(words) // count + 2 for k in range(count)]:
+            edited[spot] = "replaced"
+        rows += [(2 * item, f"{clean[n]} {' '.join(words)}"), (2 * item + 1, f"{clean[n]} {' '.join(edited)} {clean[n + 1]}")]
+    # The alignment of every document with every item, without windows and seeds.
+    block = decontaminate.Block([(item, " ".join(words)) for item, words in items])
+    expected = {
+        (i, item): score for i, text in rows for item, ids in block.items
+        if (score := decontaminate.align(ids, block.numbered(text))[0]) >= decontaminate.LEAST_SCORE
+    }
+    assert expected.keys() >= {(2 * item + n, item) for item, _ in items for n in (0, 1) if n == 0 or item % len(parts) < 3}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(item, " ".join(words)) for item, words in items], "item_id bigint, text string")
+    found = decontaminate.contaminated(docs, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == expected
+
+
 def test_alignment_equals_plain_dynamic_programme():
     rng = np.random.default_rng(6)
     for _ in range(40):
