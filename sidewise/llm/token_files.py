@@ -42,15 +42,16 @@ class Pieces:
 
     The tokenizer drops white space and none of its steps reaches across it, so the ids
     of a text are those of its pieces; each distinct piece goes through the library once
-    as long as it is remembered.
+    as long as it is remembered.  Special tokens hold no white space; ``special_as_text``
+    says whether they are cut like any other text or, the library's default, keep their id.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         #: Pieces met lately, and those met before them; the latter go when the former fill half the room.
         self.known: dict[str, bytes] = {"": b""}
@@ -77,7 +78,7 @@ class Pieces:
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
-    return Pieces(path)
+    return Pieces(path, special_as_text=False)
 
 
 def _filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:

@@ -271,6 +271,17 @@ def test_token_files_awkward(spark, awkward):
         assert not part.sequence(0)[0].flags.owndata  # a view of the mapped file
 
 
+def test_token_files_equal_the_unchanged_library_on_special_tokens(spark):
+    rows = [(1, "end of text <|endoftext|> next"), (2, "a<|endoftext|>B\n<|startoftext|><|endoftext|>"), (3, "<|EndOfText|> <|endoftext |>"), (4, "plain")]
+    library, expected, start = Tokenizer.from_file(WORDS), [], 0
+    for i, text in rows:
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        expected.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    manifest = token_files.write(spark.createDataFrame(rows, "doc_id bigint, text string"), scratch_path(spark, "tokens"), WORDS)
+    assert sorted(map(tuple, token_files.read(manifest).collect())) == expected
+
+
 def test_pieces_equal_the_library_on_odd_text():
     library = Tokenizer.from_file(WORDS)
     library.encode_special_tokens = True
