@@ -481,6 +481,16 @@ def test_near_dedup(spark):
     assert near(spark, rows, 5, 80) == expected_near(rows, 5, 80)
 
 
+def test_near_dedup_keeps_links_of_unlucky_sketches(spark):
+    # Most of what sets two documents apart has small hashes: the union's sketch shares 23 of 48, the sets 223 of 248.
+    words = sorted((f"word{n}" for n in range(248)), key=lambda w: near_dedup.shingle_set(w, 1)[0])
+    left, right, both = words[:13], words[13:25], words[25:]
+    rows = [(1, " ".join(left + both)), (2, " ".join(right + both))]
+    assert near(spark, rows, 1, 80) == expected_near(rows, 1, 80)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r["component_id"] for r in near_dedup.near_duplicates(docs, 1, 80).collect()] == [1, 1]
+
+
 def test_near_dedup_awkward(spark, awkward, nothing):
     assert near(spark, AWKWARD, 3, 85) == expected_awkward(AWKWARD, 3, 85)
     assert near_dedup.near_duplicates(nothing).count() == 0
