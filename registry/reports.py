@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sidewise.operators import reports as R
+from sidewise.session import scratch_path
+from sidewise.sources import files as S
 
 from . import query
 from .duck import rnd, sql
@@ -115,10 +117,14 @@ def _(i: Inputs) -> DataFrame:
     union all select 'malformed', count(*) from r where bad""",
 )
 def _(i: Inputs) -> DataFrame:
-    bad = F.when(F.col("event_id") % 11 == 0, F.lit("{broken"))
-    records = i.events.select("user_id", "event_type", "ts", bad.alias("_corrupt_record"))
+    """Every eleventh line of the scanned files is cut off."""
+    path = scratch_path(i.spark, "load-lines")
+    text = F.to_json(F.struct("user_id", "event_type", "seconds"))
+    broken = F.concat(F.lit('{"broken":'), F.col("event_id").cast("string"))
+    i.events.select(F.when(F.col("event_id") % 11 == 0, broken).otherwise(text).alias("value")).write.text(path)
+    records = S.scan_ndjson(i.spark, path, "user_id bigint, event_type string, seconds bigint")
     known = i.events.where("ts < timestamp_ntz'2024-01-01 06:00:00'")
-    return R.load_counts(records, known, "user_id", F.col("event_type") != "error", [F.asc("ts")])
+    return R.load_counts(records, known, "user_id", F.col("event_type") != "error", [F.asc("seconds")])
 
 
 # --- completeness ------------------------------------------------------------

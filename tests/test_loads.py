@@ -3,10 +3,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from sidewise.operators import loads as L
 from sidewise.session import scratch_path
 
 SCHEMA = "k int, ts int, v string"
+SF = "/root/testdata/sf0.001"
 
 
 def table(spark, *rows):
@@ -59,3 +61,12 @@ def test_partitioned_upsert_leaves_untouched_partitions(spark):
     assert n == 1
     assert as_set(spark.read.parquet(path).select("k", "ts", "v")) == {(1, 0, "p"), (2, 8, "p"), (3, 0, "q"), (4, 1, "p")}
     assert sorted(os.listdir(f"{path}/v=q")) == before
+
+
+def test_load_counts_come_from_scanned_files(spark):
+    counts = entry.queries()["report_load_counts"](spark, SF)
+    assert any(f.endswith(".txt") for f in counts.inputFiles())
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    got = {r["outcome"]: r["records"] for r in counts.collect()}
+    assert got["malformed"] == events.where("event_id % 11 = 0").count() > 0
+    assert sum(got.values()) == events.count()
