@@ -23,6 +23,8 @@ GROUPS = ["Attack", "Defending", "Duels", "Goalkeeping", "Match overview", "Pass
 # Each line item counts for three metrics.
 METRIC_OFFSETS = [0, 13, 26]
 AS_OF = "2001-08-01"
+#: About how many events a page of a fixture list holds.
+PAGE_EVENTS = 100
 
 
 def pick(names: list[str], index: Column) -> Column:
@@ -288,7 +290,8 @@ class Inputs:
     def upcoming_documents(self) -> DataFrame:
         """Fixture lists: not-started matches per customer, extracted on two days.
 
-        The second extraction only has even matches and a later round.
+        The second extraction only has even matches and a later round.  A list longer
+        than a page is dealt out over several by a hash, so none grows with the data.
         """
         c = F.col
         rows = self.matches.where(c("status_type") == "notstarted").select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("take"))
@@ -304,11 +307,16 @@ class Inputs:
             F.struct((c("round_number") + c("take")).alias("round")).alias("roundInfo"),
         )
         keys = ["cust_id", "tournament_id", "season_id", "take"]
-        lists = rows.groupBy(*keys).agg(F.collect_list(event).alias("events"))
+        # Only the lists that need several pages are joined, at most one in PAGE_EVENTS rows.
+        long = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(c("n") > PAGE_EVENTS)
+        long = long.select(*keys, F.ceil(c("n") / PAGE_EVENTS).alias("pages"))
+        page = F.pmod(F.xxhash64("match_id"), F.coalesce("pages", F.lit(1))).cast("int")
+        rows = rows.join(long, keys, "left").withColumn("page_index", page)
+        lists = rows.groupBy(*keys, "page_index").agg(F.collect_list(event).alias("events"))
         day = F.concat(F.lit("2024-03-0"), c("take"))
         meta = F.struct(
             "tournament_id", "season_id", day.alias("extraction_date"),
-            F.concat(day, F.lit("T08:00:00.000000+00:00")).alias("extracted_at"), F.lit(0).alias("page_index"), F.lit("feed").alias("source"),
+            F.concat(day, F.lit("T08:00:00.000000+00:00")).alias("extracted_at"), "page_index", F.lit("feed").alias("source"),
         )
         data = F.struct("events", (c("take") == 1).alias("hasNextPage"))
         return lists.select(

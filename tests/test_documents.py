@@ -107,3 +107,16 @@ def test_counts_of_one_very_large_match(spark):
 def test_shape_profile_opens_every_level(spark):
     df = spark.createDataFrame([('{"a":{"b":{"c":{"d":{"e":1}}}}}',)], "data string")
     assert {r.path for r in D.json_shape_profile(df, "data").collect()} == {"$.a", "$.a.b", "$.a.b.c", "$.a.b.c.d", "$.a.b.c.d.e"}
+
+
+def test_fixture_lists_are_pages_of_bounded_size(spark, monkeypatch):
+    from registry import inputs
+
+    sf, of = "/root/testdata/sf0.01", "size(from_json(data, 'data struct<events:array<string>>').data.events)"
+    whole = inputs.Inputs(spark, sf).upcoming_documents.selectExpr("cust_id", "take", f"{of} as n")
+    expected = {tuple(r) for r in whole.groupBy("cust_id", "take").agg(F.sum("n")).collect()}
+    monkeypatch.setattr(inputs, "_WRITTEN", {})
+    monkeypatch.setattr(inputs, "PAGE_EVENTS", 1, raising=False)
+    pages = inputs.Inputs(spark, sf).upcoming_documents.selectExpr("cust_id", "take", f"{of} as n").cache()
+    assert {tuple(r) for r in pages.groupBy("cust_id", "take").agg(F.sum("n")).collect()} == expected
+    assert pages.count() > whole.count()
