@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sidewise.session import scratch_path
 
-from . import bpe, chat, decontaminate, exact_dedup, line_dedup, near_dedup, secret_ledger, shards, token_files, toxicity
+from . import (
+    bpe, chat, decontaminate, exact_dedup, filter_audit, line_dedup, near_dedup, pattern_packing, periodic_runs, secret_ledger, shards, token_files, toxicity,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +134,78 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+def echoed(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten, by the crc32 of its id, repeats a stretch of its words to its end."""
+    if doc_id is None or not words:
+        return words
+    hashed = zlib.crc32(str(doc_id).encode())
+    if hashed % 10:
+        return words
+    seed, n = hashed // 10, len(words)
+    start = seed % n
+    period = 1 + (n - start) // (3 + seed % 8)
+    return [*words[:start], *(words[start + i % period] for i in range(n - start))]
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(table(spark, sf_dir, "documents"), echoed)
+
+
+@query("op12_pattern_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return pattern_packing.pack(table(spark, sf_dir, "documents"), *paths, public_tokenizers.PATTERN)
+
+
+@query(
+    "op13_filter_audit",
+    """
+    with recursive words as (
+        select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+               list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r\f\v]+'), lambda w: w <> '') as ws,
+               min(doc_id) over (partition by coalesce(text, '')) as first_id
+        from documents
+    ), flagged as (
+        select doc_id, part, len(ws) < 200 as a, 100 * len(list_distinct(ws)) < 50 * len(ws) as b,
+               100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(text) as c,
+               length(translate(text, '#$%&*|', '')) < length(text) as d, coalesce(doc_id > first_id, false) as e
+        from words
+    ), said as (
+        select doc_id, max(quality) as quality, max(toxic) as toxic from labels group by doc_id
+    ), masked as (
+        select part, a::int + 2 * b::int + 4 * c::int + 8 * d::int + 16 * e::int as mask,
+               count(*) as n, count(*) filter (quality = 1) as good, count(*) filter (toxic = 1) as toxic
+        from flagged left join said using (doc_id) group by 1, 2
+    ), filters(name, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    orders(filter_order, bits) as (
+        select '', 0
+        union all
+        select filter_order || name, bits + bit from orders, filters where bits & bit = 0
+    ), steps as (
+        select o.filter_order, step, bit as own,
+               list_sum([case x when 'A' then 1 when 'B' then 2 when 'C' then 4 when 'D' then 8 else 16 end for x in string_split(o.filter_order[1:step - 1], '') if x <> '']) as prior
+        from orders o, (select unnest(range(1, 6))::int as step), filters where bits = 31 and name = o.filter_order[step]
+    ), counted as (
+        select part, filter_order, step, own,
+               sum(n) filter (mask & (own | coalesce(prior, 0)::int) = 0) as kept,
+               sum(n) filter (mask & own <> 0 and mask & coalesce(prior, 0)::int = 0) as removed,
+               sum(n) filter (mask & own <> 0 and mask & coalesce(prior, 0)::int <> 0) as redundant,
+               sum(n) filter (mask = own) as unique_fails,
+               sum(good) filter (mask & own <> 0 and mask & coalesce(prior, 0)::int = 0) as good_lost,
+               sum(toxic) filter (mask & own <> 0 and mask & coalesce(prior, 0)::int = 0) as toxic_lost
+        from masked, steps group by all
+    )
+    select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+           coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+           coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+           (sum(coalesce(removed, 0)) over (partition by part, own))::bigint as shapley
+    from counted
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
