@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sidewise.functions.measures import STAT_TYPE
-from sidewise.operators.documents import compare_sides
+from sidewise.operators.documents import as_variant, compare_sides
 from sidewise.operators.pivot import metric_columns, name_columns
 from sidewise.plans import appearances, bronze, gold, scorer, silver
-from sidewise.session import scratch_path
+from sidewise.session import scratch_path, write_bucketed
 
 METRICS = appearances.ALL_METRICS
 GROUPS = ["Attack", "Defending", "Duels", "Goalkeeping", "Match overview", "Passes", "Shots"]
@@ -39,12 +39,16 @@ def _write_parquet(df: DataFrame, path: str) -> None:
     df.write.parquet(path)
 
 
-def written(build, write=_write_parquet):
+def _read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def written(build, write=_write_parquet, read=_read_parquet):
     """A relation kept as a parquet table in the shared folder of the session.
 
     These are the raw, bronze and long silver tables that all models read.  The
     first use writes the table, later uses of the same data directory read it.
-    ``write`` stores what ``build`` gives.
+    ``write`` stores what ``build`` gives and may name what ``read`` opens.
     """
     name = build.__name__
 
@@ -52,15 +56,18 @@ def written(build, write=_write_parquet):
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _WRITTEN:
             path = scratch_path(self.spark, name)
-            write(build(self), path)
-            _WRITTEN[key] = path
-        return self.spark.read.parquet(_WRITTEN[key])
+            _WRITTEN[key] = write(build(self), path) or path
+        return read(self.spark, _WRITTEN[key])
 
     relation.__doc__ = build.__doc__
     return property(relation)
 
 
-WRITTEN_RELATIONS = ["matches", "stats", "side_values", "match_documents", "stats_documents", "full_stats", "upcoming_documents"]
+#: A relation stored in buckets of match_id, so that joins and counts by match move nothing.
+by_match = partial(written, write=partial(write_bucketed, key="match_id"), read=SparkSession.table)
+
+
+WRITTEN_RELATIONS = ["matches", "stats", "side_values", "match_documents", "match_variants", "stats_documents", "full_stats", "upcoming_documents"]
 
 
 class Inputs:
@@ -73,7 +80,7 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    @written
+    @by_match
     def matches(self) -> DataFrame:
         """Typed matches of all statuses."""
         orders, customer = self.table("orders"), self.table("customer")
@@ -166,7 +173,7 @@ class Inputs:
     @written
     def full_stats(self) -> DataFrame:
         """The bronze statistics, from the documents."""
-        return bronze.full_stats_data(self.stats_documents, self.matches, stage_path=scratch_path(self.spark, "stage"))
+        return bronze.full_stats_data(self.stats_documents, self.matches)
 
     # --- silver and gold relations -----------------------------------------
 
@@ -253,6 +260,11 @@ class Inputs:
             (c("start_timestamp") + F.expr("interval 1 day")).alias("ingestion_timestamp"),
         )
 
+    @written
+    def match_variants(self) -> DataFrame:
+        """The match documents as variants, which parquet stores shredded: parsed at load, never again."""
+        return as_variant(self.match_documents)
+
     @cached_property
     def match_records(self) -> DataFrame:
         """The documents parsed into one struct column ``doc``."""
@@ -260,7 +272,7 @@ class Inputs:
 
         return self.match_documents.select("match_id", F.from_json("data", schemas.MATCH).alias("doc")).select("doc.*")
 
-    @written
+    @by_match
     def stats_documents(self) -> DataFrame:
         """One statistics document per match; every other one in the wrapped envelope.
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sidewise.plans import appearances as A
 from sidewise.plans import bronze, gold, scorer, silver
-from sidewise.session import scratch_path
 
 from . import query
 from .duck import AS_OF, mean, mean0, rnd, share, sql, stat
@@ -693,7 +692,7 @@ MATCH_DOCUMENT_COLUMNS = """
 
 @query("full_matches_data", sql(f"select {MATCH_DOCUMENT_COLUMNS} from matches"))
 def _(i: Inputs) -> DataFrame:
-    return bronze.full_matches_data(i.match_documents)
+    return bronze.full_matches_data(i.match_variants)
 
 
 # Loaded so far: everything before 1999, and the finished matches of that year.
@@ -706,7 +705,7 @@ _LOADED = "(season_id < 1999 or (status_type = 'finished' and season_id < 2000))
 )
 def _(i: Inputs) -> DataFrame:
     loaded = i.matches.where(_LOADED)
-    return bronze.full_matches_data(i.match_documents, loaded.withColumn("start_timestamp", F.col("start_timestamp").cast("timestamp")))
+    return bronze.full_matches_data(i.match_variants, loaded.withColumn("start_timestamp", F.col("start_timestamp").cast("timestamp")))
 
 
 @query(
@@ -714,12 +713,13 @@ def _(i: Inputs) -> DataFrame:
     sql(f"select {MATCH_DOCUMENT_COLUMNS} from matches where not {_LOADED}"),
 )
 def _(i: Inputs) -> DataFrame:
-    return bronze.full_matches_data(i.match_documents, i.matches.where(_LOADED), mode="anti")
+    return bronze.full_matches_data(i.match_variants, i.matches.where(_LOADED), mode="anti")
 
 
 FULL_STATS = f"""
   select s.match_id, 202 as tournament_id, m.season_id, s.period, group_name, statistic_key, statistic_name, statistics_type, value_type, 1 as render_type,
   case when home_cents > away_cents then 1 else 2 end as compare_code, {_STAT_VALUES},
+  (home_cents / 100.0::double)::varchar as home_value_text, (away_cents / 100.0::double)::varchar as away_value_text,
   home_cents is not null and away_cents is not null as has_numeric_values, true as is_complete_statistic,
   row_number() over (partition by s.match_id, s.period, group_name order by statistic_key) as stat_order_in_group,
   count(*) over (partition by s.match_id, s.period, group_name) as stats_count_in_group,
@@ -733,14 +733,13 @@ FULL_STATS = f"""
 
 @query("full_stats_data", sql(FULL_STATS))
 def _(i: Inputs) -> DataFrame:
-    rows = bronze.full_stats_data(i.stats_documents, i.matches, stage_path=scratch_path(i.spark, "stage"))
-    return rows.drop("home_value_text", "away_value_text")
+    return bronze.full_stats_data(i.stats_documents, i.matches)
 
 
 @query("full_stats_data_by_key", sql(f"select * from ({FULL_STATS}) where ifnull(season_id, 9999) >= 1999"))
 def _(i: Inputs) -> DataFrame:
     loaded = i.matches.where("season_id < 1999").select("match_id")
-    return bronze.full_stats_data(i.stats_documents, i.matches, loaded).drop("home_value_text", "away_value_text")
+    return bronze.full_stats_data(i.stats_documents, i.matches, loaded)
 
 
 @query(

@@ -107,11 +107,23 @@ def project(df: DataFrame, doc: str, columns: Sequence[tuple[str, str, str]], st
 
 
 def flatten_match_json(raw: DataFrame, json_col: str = "data", strict: bool = True) -> DataFrame:
-    """One typed row per match document; a document is parsed once."""
+    """One typed row per match document, given as JSON text or as a variant.
+
+    Text is parsed once.  Of a stored variant the scan reads the paths in use only;
+    a leaf is taken as text and then typed, so both forms give the same values.
+    """
     docs = raw.where(F.col(json_col).isNotNull())
+    if docs.schema[json_col].dataType.typeName() == "variant":
+        leaves = [(name, F.try_variant_get(json_col, f"$.{path}", "string"), dtype) for name, path, dtype in MATCH_COLUMNS]
+        return docs.select(*(typed(leaf, dtype, strict).alias(name) for name, leaf, dtype in leaves))
     return project(parse_once(docs, json_col, schemas.MATCH, "doc"), "doc", MATCH_COLUMNS, strict)
 
 
+def as_variant(raw: DataFrame, json_col: str = "data") -> DataFrame:
+    """``raw`` with its JSON text as a variant; text that is no JSON becomes NULL."""
+    return raw.withColumn(json_col, F.try_parse_json(json_col))
+
+
 def stat_periods(c: Column) -> Column:
     """The period list of a statistics document in either envelope.
 
@@ -123,6 +135,25 @@ def stat_periods(c: Column) -> Column:
     return F.coalesce(wrapped, bare)
 
 
+# Output column, field of an item, type.
+ITEM_COLUMNS = [
+    ("statistic_name", "name", "string"),
+    ("statistic_key", "key", "string"),
+    ("home_value_text", "home", "string"),
+    ("away_value_text", "away", "string"),
+    ("home_value_numeric", "homeValue", STAT_TYPE),
+    ("away_value_numeric", "awayValue", STAT_TYPE),
+    ("compare_code", "compareCode", "int"),
+    ("statistics_type", "statisticsType", "string"),
+    ("value_type", "valueType", "string"),
+    ("render_type", "renderType", "int"),
+]
+
+
+def _item_fields(item: str, strict: bool) -> list[Column]:
+    return [typed(F.col(f"{item}.{path}"), dtype, strict).alias(name) for name, path, dtype in ITEM_COLUMNS]
+
+
 def explode_stats(raw: DataFrame, json_col: str = "data", keep: Sequence[str] = ("match_id",), strict: bool = True) -> DataFrame:
     """One row per statistic item; empty or missing lists give no row."""
     docs = raw.where(F.col(json_col).isNotNull())
@@ -131,20 +162,88 @@ def explode_stats(raw: DataFrame, json_col: str = "data", keep: Sequence[str] =
     items = groups.select(
         *keep, "period", F.col("g.groupName").alias("group_name"), F.explode("g.statisticsItems").alias("i")
     )
-    columns = [
-        ("statistic_name", "name", "string"),
-        ("statistic_key", "key", "string"),
-        ("home_value_text", "home", "string"),
-        ("away_value_text", "away", "string"),
-        ("home_value_numeric", "homeValue", STAT_TYPE),
-        ("away_value_numeric", "awayValue", STAT_TYPE),
-        ("compare_code", "compareCode", "int"),
-        ("statistics_type", "statisticsType", "string"),
-        ("value_type", "valueType", "string"),
-        ("render_type", "renderType", "int"),
-    ]
-    fields = [typed(F.col(f"i.{path}"), dtype, strict).alias(name) for name, path, dtype in columns]
-    return items.select(*keep, "period", "group_name", *fields)
+    return items.select(*keep, "period", "group_name", *_item_fields("i", strict))
+
+
+def _merged_entries(entries: Column, label: str, lists: str) -> Column:
+    """``entries`` with one entry per value of ``label``; the arrays ``lists`` of equal labels are joined."""
+    labels = F.array_distinct(F.transform(entries, lambda e: e[label]))
+
+    def whole(value: Column) -> Column:
+        same = F.filter(entries, lambda e: e[label].eqNullSafe(value))
+        parts = F.filter(F.transform(same, lambda e: e[lists]), lambda part: part.isNotNull())
+        return F.struct(value.alias(label), F.flatten(parts).alias(lists))
+
+    # Only a document that does repeat a label is taken apart.
+    return F.when(F.size(labels) < F.size(entries), F.transform(labels, whole)).otherwise(entries)
+
+
+def one_entry_per_label(periods: Column) -> Column:
+    """A period list in which no period comes twice and, within a period, no group."""
+    merged = _merged_entries(periods, "period", "groups")
+    return F.transform(
+        merged, lambda p: F.struct(p["period"].alias("period"), _merged_entries(p["groups"], "groupName", "statisticsItems").alias("groups"))
+    )
+
+
+def stat_documents(raw: DataFrame, json_col: str = "data", carried: Sequence[str] = (), beside: DataFrame | None = None) -> DataFrame:
+    """One row per match: match_id, ``carried``, the columns of ``beside`` for that match_id, periods (as parsed).
+
+    The documents of a match that has several are joined into one list; of
+    ``carried`` the smallest value stays then.  Which matches these are is counted by
+    id alone, so of documents stored by buckets of match_id nothing is shuffled.
+    A document without match_id stands for itself.
+    """
+    docs = raw.where(F.col(json_col).isNotNull()).select("match_id", *carried, json_col)
+    several = docs.where(F.col("match_id").isNotNull()).groupBy("match_id").agg(F.count(F.lit(1)).alias("_documents")).where("_documents > 1")
+    parsed = lambda df: df.select("match_id", *carried, stat_periods(F.col(json_col)).alias("periods"))
+    joined = parsed(docs.join(several, "match_id", "left_semi")).groupBy("match_id").agg(
+        *(F.min(c).alias(c) for c in carried), F.flatten(F.collect_list("periods")).alias("periods")
+    )
+    # Both kinds are joined on their own: a union would lose the buckets.
+    looked_up = lambda df: df if beside is None else df.join(beside, "match_id", "left")
+    return looked_up(parsed(docs.join(several, "match_id", "left_anti"))).unionByName(looked_up(joined))
+
+
+def explode_counted_stats(documents: DataFrame, keep: Sequence[str] = ("match_id",), strict: bool = True) -> DataFrame:
+    """One row per statistic item of ``stat_documents``, with order and counts taken inside the document.
+
+    A document is a whole match, so the items of a group are sorted and numbered
+    in its array and every count is a size; no row meets those of another document.
+    """
+    # The one-element explode keeps the parse from being copied into each count.
+    docs = documents.select(*keep, F.explode(F.array("periods")).alias("_raw")).where(F.col("_raw").isNotNull())
+    docs = docs.select(*keep, F.explode(F.array(one_entry_per_label(F.col("_raw")))).alias("_periods"))
+
+    def size(c: Column) -> Column:
+        return F.coalesce(F.size(c), F.lit(0)).cast("bigint")
+
+    def in_period(p: Column) -> Column:
+        return F.aggregate(F.coalesce(p["groups"], F.array()), F.lit(0).cast("bigint"), lambda n, g: n + F.greatest(size(g["statisticsItems"]), F.lit(0)))
+
+    sized = docs.select(*keep, "_periods", F.transform("_periods", in_period).alias("_sizes"))
+    filled = F.filter(F.flatten(F.transform("_periods", lambda p: F.coalesce(p["groups"], F.array()))), lambda g: F.size(g["statisticsItems"]) > 0)
+    names = F.array_compact(F.array_distinct(F.transform(filled, lambda g: g["groupName"])))
+    labelled = F.filter(F.arrays_zip("_periods", "_sizes"), lambda e: (e["_sizes"] > 0) & e["_periods"]["period"].isNotNull())
+    counted = sized.select(
+        *keep,
+        F.aggregate("_sizes", F.lit(0).cast("bigint"), lambda n, s: n + s).alias("total_statistics_count"),
+        F.size(labelled).cast("bigint").alias("periods_count"),
+        F.size(names).cast("bigint").alias("groups_count"),
+        F.explode(F.arrays_zip("_periods", "_sizes")).alias("_p"),
+    )
+    per_match = ["total_statistics_count", "periods_count", "groups_count"]
+    groups = counted.select(
+        *keep, *per_match, F.col("_p._periods.period").alias("period"), F.col("_p._sizes").alias("statistics_in_period"), F.explode("_p._periods.groups").alias("_g")
+    )
+    items = groups.select(
+        *keep, *per_match, "period", "statistics_in_period", F.col("_g.groupName").alias("group_name"),
+        F.size("_g.statisticsItems").cast("bigint").alias("stats_count_in_group"), F.posexplode(F.sort_array("_g.statisticsItems")).alias("_at", "_i"),
+    )
+    return items.select(
+        *keep, "period", "group_name", *_item_fields("_i", strict), (F.col("_at") + 1).cast("bigint").alias("stat_order_in_group"),
+        "stats_count_in_group", "statistics_in_period", *per_match,
+    )
 
 
 def compare_sides(df: DataFrame) -> DataFrame:

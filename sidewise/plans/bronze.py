@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.documents import (
-    compare_sides, explode_stats, flatten_match_json, with_group_counts,
+    compare_sides, explode_counted_stats, flatten_match_json, stat_documents,
 )
 from ..operators.joins import missing_from
 from ..operators.loads import hwm_filter
@@ -35,17 +35,16 @@ def full_stats_data(
     matches: DataFrame,
     loaded: DataFrame | None = None,
     strict: bool = True,
-    stage_path: str | None = None,
 ) -> DataFrame:
     """One row per (match, period, group, statistic) with comparisons and counts.
 
-    The document text is not carried along: exploded rows would repeat it a
-    hundred times; ``match_id`` leads back to the raw row.  With ``stage_path``
-    the exploded rows are written there once, so no document is parsed twice.
+    Order and counts come from inside the document, so exploded rows are neither
+    written in between nor shuffled; with documents and matches stored by buckets
+    of match_id nothing is.  The document text is not carried along: exploded rows
+    would repeat it a hundred times; ``match_id`` leads back to the raw row.
     """
     docs = raw_stats if loaded is None else missing_from(raw_stats, loaded, ["match_id"])
-    flat = compare_sides(explode_stats(docs, keep=["match_id", "tournament_id"], strict=strict))
-    if stage_path is not None:
-        flat.write.mode("overwrite").parquet(stage_path)
-        flat = raw_stats.sparkSession.read.schema(flat.schema).parquet(stage_path)
-    return with_group_counts(flat).join(season_of_match(matches), "match_id", "left")
+    # The season joins the documents, a hundred times fewer than their items.
+    keep = ["match_id", "tournament_id", "season_id"]
+    documents = stat_documents(docs, carried=["tournament_id"], beside=season_of_match(matches))
+    return compare_sides(explode_counted_stats(documents, keep, strict))

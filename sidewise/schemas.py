@@ -27,8 +27,9 @@ MATCH_FIELDS = (
 )
 MATCH = f"struct<{MATCH_FIELDS}>"
 
+# Key and name come first: items sort by them as they are.
 STAT_ITEM = (
-    "struct<name:string,key:string,home:string,away:string,homeValue:string,awayValue:string,"
+    "struct<key:string,name:string,home:string,away:string,homeValue:string,awayValue:string,"
     "compareCode:string,statisticsType:string,valueType:string,renderType:string>"
 )
 STAT_PERIODS = (

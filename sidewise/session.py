@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -49,3 +50,16 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def write_bucketed(df: DataFrame, path: str, key: str) -> str:
+    """Write ``df`` below ``path`` in sorted buckets of ``key`` and return the table's name.
+
+    Tables bucketed by one key join and aggregate on it without a shuffle.  There are
+    as many buckets as the session has shuffle partitions.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = re.sub(r"\W", "_", os.path.basename(path))
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return name
