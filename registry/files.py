@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sidewise.operators import documents as D
 from sidewise.session import scratch_path
 from sidewise.sources import files as S
+from sidewise.sources import snapshots
 from sidewise.streaming import ingest
 
 from . import query
@@ -91,24 +92,41 @@ def _(i: Inputs) -> DataFrame:
 _REPLACED = f"""select {_FIELDS} from events where ts::date <> '2024-01-10' or event_type = 'click'"""
 
 
+def snapshot(i: Inputs) -> str:
+    root = scratch_path(i.spark, "snapshots")
+    snapshots.write(records(i), root, LAYOUT, BY)
+    return root
+
+
+def current(i: Inputs, root: str, version: int | None = None) -> DataFrame:
+    return S.well_formed(snapshots.scan(i.spark, root, RECORD, LAYOUT, version)).select(*records(i).columns)
+
+
 @query("replace_partition", _REPLACED)
 def _(i: Inputs) -> DataFrame:
-    """One day is replaced by its clicks; all other partitions stay."""
-    path = stored(i)
-    day = records(i).where("date = '2024-01-10' and event_type = 'click'")
-    named = records(i).where("date = '2024-01-10'").select(*BY)
-    S.write_partitioned(day, path, mode="replace", replaced=named)
-    return S.well_formed(S.scan_ndjson(i.spark, path, RECORD, LAYOUT)).select(*records(i).columns)
+    """One day is replaced by its clicks; all other partitions stay, and a tournament without clicks loses that day."""
+    root = snapshot(i)
+    day = records(i).where("date = '2024-01-10'")
+    snapshots.write(day.where("event_type = 'click'"), root, LAYOUT, BY, "replace", replaced=day)
+    return current(i, root)
+
+
+@query("read_version", f"select 1 as version, * from (select {_FIELDS} from events) union all select 2, * from (select {_FIELDS} from events where event_type = 'view')")
+def _(i: Inputs) -> DataFrame:
+    """The snapshot before a full rewrite stays readable beside the new one."""
+    root = snapshot(i)
+    snapshots.write(records(i).where("event_type = 'view'"), root, LAYOUT, BY, "full")
+    of = lambda n: current(i, root, n).withColumn("version", F.lit(n))
+    return of(1).unionByName(of(2))
 
 
 @query("append_vs_replace", "select strftime(ts, '%Y-%m-%d') as date, count(*) * 2 as n from events where ts::date <> '2024-01-10' group by 1 union all select '2024-01-10', count(*) from events where ts::date = '2024-01-10'")
 def _(i: Inputs) -> DataFrame:
     """Appended twice, then one day replaced."""
-    path = stored(i)
-    S.write_partitioned(records(i), path, mode="append")
-    S.write_partitioned(records(i).where("date = '2024-01-10'"), path, mode="replace")
-    files = S.well_formed(S.scan_ndjson(i.spark, path, RECORD, LAYOUT))
-    return files.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    root = snapshot(i)
+    snapshots.write(records(i), root, LAYOUT, BY)
+    snapshots.write(records(i).where("date = '2024-01-10'"), root, LAYOUT, BY, "replace")
+    return current(i, root).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
 
 
 _LINE = """'{"event_id":' || event_id || ',"event_type":"' || event_type || '"}'"""

@@ -38,7 +38,11 @@ def scan_ndjson(spark: SparkSession, root: str, schema: str, layout: str = "", g
     line counts as corrupt does not depend on the query.
     """
     lines = scan_ndjson_text(spark, root, layout, glob)
-    partitions = [c for c in lines.columns if c not in ("data", "file_path")]
+    return typed_lines(lines, schema, [c for c in lines.columns if c not in ("data", "file_path")])
+
+
+def typed_lines(lines: DataFrame, schema: str, partitions: Sequence[str]) -> DataFrame:
+    """``partitions`` and the record in column ``data`` of each line."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     record = F.from_json("data", f"{schema}, {CORRUPT} string", options)
     return lines.select(*partitions, F.inline(F.array(record)))
@@ -72,12 +76,12 @@ def to_ndjson(df: DataFrame, keep_nulls: bool = True) -> DataFrame:
 
 def write_partitioned(
     df: DataFrame, root: str, by: Sequence[str] = PARTITION_COLUMNS, mode: str = "append",
-    max_records: int = 1_000_000, replaced: DataFrame | None = None,
+    max_records: int = 1_000_000,
 ) -> None:
     """Write line-delimited JSON below ``root`` in ``by`` folders.
 
-    ``append`` adds files, ``replace`` swaps the partitions in ``df``; those that
-    ``replaced`` names (columns ``by``) and ``df`` has no rows for are emptied.
+    ``append`` adds files, ``replace`` swaps the partitions in ``df`` in place; see
+    ``snapshots`` for writes that show whole or not at all.
     The rebalance hint puts the rows of a folder together, yet splits a folder
     that is too large for one task and joins small ones, so neither many tiny
     files nor one huge file arises.
@@ -89,16 +93,6 @@ def write_partitioned(
         writer.mode("append").json(root)
     else:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").json(root)
-        if replaced is not None:
-            _drop_partitions(replaced.select(*by).distinct().join(df.select(*by).distinct(), list(by), "left_anti"), root, by)
-
-
-def _drop_partitions(partitions: DataFrame, root: str, by: Sequence[str]) -> None:
-    """Delete the folders of ``partitions``: one call to the file system for each."""
-    spark = partitions.sparkSession
-    for row in partitions.toLocalIterator():
-        folder = spark._jvm.org.apache.hadoop.fs.Path("/".join([root.rstrip("/"), *(f"{c}={row[c]}" for c in by)]))
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def batch_manifest(df: DataFrame, by: Sequence[str], batch: str = "batch_id") -> DataFrame:
