@@ -14,6 +14,8 @@ from sidewise.llm import bpe, decontaminate, line_dedup, near_dedup, toxicity
 from sidewise.llm.common import prepare_workers, free_name, stored, table
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+#: A character that is not white space.
+WORD = "[^\\x20\\x09-\\x0D]"
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -33,10 +35,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier document holds; n_chars follows the text."""
+    """Documents without the lines that an earlier document holds; n_chars follows the text.
+
+    A document that loses lines and is left without a word was a copy of others and goes;
+    one that had no words to begin with stays.
+    """
     prepare_workers(spark)
     name = free_name(docs, "lines")
-    cleaned = line_dedup.clean(line_dedup.build(docs), docs, name).drop(name)
+    cleaned = line_dedup.clean(line_dedup.build(docs), docs, name)
+    emptied = (F.col(name)["n_dropped"] > 0) & ~F.coalesce("text", F.lit("")).rlike(WORD)
+    cleaned = cleaned.where(~emptied).drop(name)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)))
     return cleaned

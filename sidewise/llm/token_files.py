@@ -12,8 +12,11 @@ tasks wrote; what a lost task left behind is in no manifest.
 from __future__ import annotations
 
 import os
+import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,13 +40,77 @@ MANIFEST = "part int, ids_file string, index_file string, n_docs bigint, n_token
 REMEMBERED, LONGEST = 800_000, 32
 
 
+#: Word ends, while words are merged as ranked bytes; no text that holds it takes that way.
+WORD_END = b"\x00"
+#: The split pattern for text of ASCII characters without an apostrophe, which only its first matches need.
+ASCII_PARTS = re.compile("[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
+#: Marks that may follow a word; such a tail is a match of the split pattern of its own.
+TAIL = ".,;:!?"
+#: Below this character letters have one lower-case form each and no text needs composing.
+PLAIN_BELOW = "\u0130"
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for.
+
+    Printable Latin-1 characters stand for themselves; the other bytes, in order, have the characters from 256 on.
+    """
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
+
+
+class RankedWords:
+    """Ids of single lower-case words by the merges of a vocabulary whose words end in a suffix.
+
+    The ids of such a vocabulary grow in the order of its merges, after those of single
+    bytes without and with the suffix, so they are the ranks of a byte-pair encoder for
+    words that end in ``WORD_END``.
+    """
+
+    def __init__(self, tokenizer, suffix: str):
+        import tiktoken
+
+        of = byte_alphabet()
+        special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+        ranks = {}
+        for token, number in tokenizer.get_vocab().items():
+            if token not in special:
+                body = token.removesuffix(suffix)
+                ranks[bytes(of[c] for c in body) + (WORD_END if body != token else b"")] = number
+        ranks.setdefault(WORD_END, tokenizer.get_vocab_size())
+        self.merge = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    def encode(self, word: str) -> list[int]:
+        return self.merge(word.encode() + WORD_END)
+
+
+class Known(dict):
+    """Ids of pieces met lately; a piece that is not there is encoded, and kept if it is short."""
+
+    def __init__(self, encode, older: dict[str, bytes]):
+        super().__init__({"": b""})
+        self.encode, self.older = encode, older
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+        return ids
+
+
 class Pieces:
     """Ids of a text, put together from the ids of its blank-free pieces.
 
     The tokenizer drops white space and none of its steps reaches across it, so the ids
-    of a text are those of its pieces; each distinct piece goes through the library once
-    as long as it is remembered.  Special tokens hold no white space; ``special_as_text``
-    says whether they are cut like any other text or, the library's default, keep their id.
+    of a text are those of its pieces; a piece is encoded once as long as it is remembered.
+    A short piece of ASCII characters, and a word of plain letters, alone or with marks
+    behind it, is merged by ranks; every other piece goes through the library, and so does
+    one with an apostrophe or a character that may begin a special token.  Special tokens hold no white space;
+    ``special_as_text`` says whether they are cut like any other text or, the library's
+    default, keep their id.
     """
 
     def __init__(self, path: str, special_as_text: bool = True):
@@ -53,27 +120,36 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        #: Pieces met lately, and those met before them; the latter go when the former fill half the room.
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.words = RankedWords(self.tokenizer, self.tokenizer.model.end_of_word_suffix)
+        #: Characters of pieces that the library has to cut; vertical tab and form feed are white space to it.
+        self.cut = frozenset({"'", "\v", "\f", WORD_END.decode(), *(t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values())})
+        self.known = Known(self.encode_piece, {})
+
+    def encode_piece(self, piece: str) -> bytes:
+        word = piece.rstrip(TAIL)
+        if len(piece) > LONGEST or not self.cut.isdisjoint(piece):
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        elif piece.isascii():
+            ids = [i for part in ASCII_PARTS.findall(piece.lower()) for i in self.words.encode(part)]
+        elif word.isalpha() and max(word) < PLAIN_BELOW:
+            ids = self.words.encode(word.lower())
+            if len(word) < len(piece):
+                ids += self.words.encode(piece[len(word) :])
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in batch]
+        # The pieces met lately become the older ones when they fill half the room.
         if len(self.known) > REMEMBERED // 2:
-            self.known, self.older = {"": b""}, self.known
-        known, older = self.known, self.older
-        met = set().union(*split).difference(known)
-        known.update((piece, older[piece]) for piece in met if piece in older)
-        new = [piece for piece in met if piece not in known]
-        for at in range(0, len(new), 4_096):
-            some = new[at : at + 4_096]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[piece] = np.array(found.ids, self.dtype).tobytes()
-        out = [b"".join([known[piece] for piece in pieces]) for pieces in split]
-        for piece in new:
-            if len(piece) > LONGEST:
-                del known[piece]
-        return out
+            self.known.older = {}
+            self.known = Known(self.encode_piece, self.known)
+        of = self.known.__getitem__
+        return [b"".join(map(of, t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))) for t in batch]
 
 
 @lru_cache(maxsize=2)

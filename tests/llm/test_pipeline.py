@@ -33,7 +33,11 @@ def test_stages(spark):
     assert gone and sum(labels.get(i, 1) for i in gone) >= 0.95 * len(gone)
 
     before, after = kept["line_dedup"]
-    assert Counter((i, text) for i, _, _, text in expected_lines(rows(before))) == Counter((i, sha(t)) for i, t in rows(after))
+    # What loses its lines and is left without a word goes; op7 says what each document keeps.
+    blank = {sha(t) for t in ("", *("\n" * n for n in range(1, 2000)))}
+    expected = Counter((i, text) for i, _, dropped, text in expected_lines(rows(before)) if not (dropped and text in blank))
+    assert expected == Counter((i, sha(t)) for i, t in rows(after))
+    assert len(ids(before)) > len(ids(after)) and not any(not t.strip() for _, t in rows(after))
     assert all(r["n_chars"] == len(r["text"]) for r in after.collect())
 
     before, after = kept["near_dedup"]
@@ -48,6 +52,14 @@ def test_stages(spark):
     assert RANKS
 
 
+def test_copies_that_line_dedup_empties_are_dropped_and_blank_input_stays(spark):
+    line = "a line of some length that two documents share"
+    rows = [(1, f"{line}\nand one more line of its own"), (2, line), (3, f"{line}\n{line}\n \n"), (4, " \n"), (5, None), (6, f"{line}\nshort")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, docs, SF).collect()}
+    assert kept == {1: rows[0][1], 4: " \n", 5: None, 6: "short"}
+
+
 def test_run_and_awkward_rows(spark, tmp_path):
     run = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert run.count() > 100
