@@ -18,6 +18,8 @@ from .common import fold_ascii, sha256_bytes, stored, texts
 
 #: Digests that one shard holds on average; bounds the memory of a task.
 KEYS_PER_SHARD = 1_024
+#: Parts, by a hash of doc_id, in which a whole table enters the index, so that later parts meet live filters.
+BATCHES = 2
 
 
 @dataclass(frozen=True)
@@ -34,40 +36,40 @@ def _folded(docs: DataFrame) -> DataFrame:
 
 
 def _collect_content(docs: DataFrame) -> DataFrame:
-    """One row per digest; the texts of a digest meet here, after a partial aggregation, and must all be equal."""
+    """One row per digest of a batch, pre-aggregated with one text; a second hash proves that the others are the same."""
+    c = F.col
     groups = _folded(docs).groupBy("digest").agg(
         F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"),
-        F.min("folded").alias("folded"), F.max("folded").alias("other"),
+        F.min("folded").alias("folded"), F.min(F.xxhash64("folded")).alias("low"), F.max(F.xxhash64("folded")).alias("high"),
     )
     clash = F.raise_error(F.lit("two texts share a digest")).cast("string")
-    return groups.select("digest", "n", *refstore.IDS, F.when(F.col("folded") == F.col("other"), F.col("folded")).otherwise(clash).alias("folded"))
+    return groups.select("digest", "n", *refstore.IDS, F.when(c("low") == c("high"), c("folded")).otherwise(clash).alias("folded"))
 
 
-def build(docs: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> ExactIndex:
-    """Index of ``docs``; the number of shards follows the number of rows."""
-    spark = docs.sparkSession
+def build(docs: DataFrame, keys_per_shard: int = KEYS_PER_SHARD, batches: int = BATCHES) -> ExactIndex:
+    """Index of ``docs``, inserted in ``batches`` parts; the number of shards follows the number of rows."""
     shards = max(16, math.ceil(docs.count() / keys_per_shard))
-    none = docs.limit(0)
-    start = ExactIndex(_folded(none).drop("folded"), _folded(none).select("digest", "folded"), refstore.empty(spark), shards)
-    return insert(start, docs, fresh=True)
+    none = _folded(docs.limit(0))
+    index = ExactIndex(none.drop("folded"), none.select("digest", "folded"), refstore.empty(docs.sparkSession), shards)
+    part = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(batches))
+    for n in range(batches):
+        index = insert(index, docs.where(part == n))
+    return index
 
 
-def insert(index: ExactIndex, docs: DataFrame, fresh: bool = False) -> ExactIndex:
-    """The index with the rows of ``docs`` added."""
+def insert(index: ExactIndex, docs: DataFrame) -> ExactIndex:
+    """The index with the rows of ``docs`` added.
+
+    A digest that its shard's filter misses is admitted without a comparison; one that it
+    hits is looked up among the shard's digests, and its text compared with the stored one.
+    """
     content = stored(_collect_content(docs), "content")
-    refs = content.drop("folded")
-    if not fresh:
-        # Hits on stored keys: the stored text must be the same text.
-        known = content.join(index.content.withColumnRenamed("folded", "stored"), "digest")
-        if not known.where(F.col("folded") != F.col("stored")).isEmpty():
-            raise ValueError("two texts share a digest")
-        added = content.join(index.content, "digest", "left_anti").select("digest", "folded")
-    else:
-        added = content.select("digest", "folded")
-    state = stored(refstore.insert(index.state, refs, index.shards), "exact-state")
+    state = stored(refstore.insert(index.state, content.drop("folded"), index.shards), "exact-state")
+    known = content.join(index.content.withColumnRenamed("folded", "stored"), "digest")
+    if not known.where(F.col("folded") != F.col("stored")).isEmpty():
+        raise ValueError("two texts share a digest")
+    added = content.join(refstore.keys(index.state), "digest", "left_anti").select("digest", "folded")
     members = stored(_folded(docs).drop("folded"), "members")
-    if fresh:
-        return ExactIndex(members, added, state, index.shards)
     return ExactIndex(index.members.unionByName(members), index.content.unionByName(added), state, index.shards)
 
 
@@ -101,4 +103,5 @@ def decisions(index: ExactIndex) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
+    """The decisions over an index of all of ``docs``."""
     return decisions(build(docs))

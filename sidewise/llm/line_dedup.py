@@ -21,6 +21,8 @@ from .common import free_name, on_arrow, stored, texts
 #: Code points that a key needs to count, and keys that a shard holds on average.
 LEAST_CHARS = 10
 KEYS_PER_SHARD = 8_192
+#: Parts, by a hash of doc_id, in which a whole table enters the index, so that later parts meet live filters.
+BATCHES = 2
 
 
 def line_digest(line: bytes) -> bytes | None:
@@ -71,11 +73,18 @@ def _references(postings: DataFrame) -> DataFrame:
     return postings.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
 
 
-def build(docs: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> LineIndex:
+def build(docs: DataFrame, keys_per_shard: int = KEYS_PER_SHARD, batches: int = BATCHES) -> LineIndex:
+    """Index of ``docs``, inserted in ``batches`` parts; the number of shards follows the number of lines.
+
+    A key that its shard's filter misses is admitted at once; one that it hits is looked up among the shard's keys.
+    """
     postings = stored(_postings(docs), "postings")
     shards = max(16, math.ceil(postings.count() / keys_per_shard))
-    state = refstore.insert(refstore.empty(docs.sparkSession), _references(postings), shards)
-    return LineIndex(postings, stored(state, "line-state"), shards)
+    state = refstore.empty(docs.sparkSession)
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
+    for n in range(batches):
+        state = stored(refstore.insert(state, _references(postings.where(part == n)), shards), "line-state")
+    return LineIndex(postings, state, shards)
 
 
 def insert(index: LineIndex, docs: DataFrame) -> LineIndex:

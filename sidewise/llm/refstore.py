@@ -40,6 +40,12 @@ def filters(state: DataFrame) -> DataFrame:
     return state.where(F.col("digest").isNull()).select("shard", "filter", "filter_hits", "false_hits", "resizes")
 
 
+def counters(state: DataFrame) -> dict[str, int]:
+    """Over all shards: filter hits, those of them that were false, and filters made anew."""
+    names = ("filter_hits", "false_hits", "resizes")
+    return filters(state).agg(*[F.sum(n).alias(n) for n in names]).first().asDict()
+
+
 def _hashes(digests) -> np.ndarray:
     """Last eight bytes of every digest as numbers."""
     return np.frombuffer(b"".join(bytes(d)[-8:] for d in digests), np.uint64)

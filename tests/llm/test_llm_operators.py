@@ -15,7 +15,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sidewise.llm import bpe, chat, decontaminate, exact_dedup, line_dedup, near_dedup, registered, secret_ledger, shards, token_files, toxicity
+from sidewise.llm import bpe, chat, decontaminate, exact_dedup, line_dedup, near_dedup, refstore, registered, secret_ledger, shards, token_files, toxicity
 from sidewise.llm.cuckoo import CuckooFilter
 from sidewise.session import scratch_path
 
@@ -127,6 +127,29 @@ def test_exact_index_adds_and_deletes(spark, documents):
     assert exact_dedup.decisions(exact_dedup.delete(index, frame(rest))).count() == 0
 
 
+def test_whole_tables_enter_through_live_filters(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    exact, lines = exact_dedup.build(docs), line_dedup.build(docs)
+    for index in (exact, lines):
+        counts = refstore.counters(index.state)
+        assert counts["filter_hits"] > counts["false_hits"] and counts["resizes"] > 0
+    one = line_dedup.build(docs, batches=1)
+    assert refstore.counters(one.state)["filter_hits"] == 0
+    of = lambda index: sorted(map(tuple, refstore.keys(index.state).drop("shard").collect()))
+    assert of(lines) == of(one)
+
+
+def test_a_false_hit_is_told_apart_by_the_stored_digest(spark):
+    # The filter sees the last eight bytes only.
+    first, second = b"a" * 8 + b"same end", b"b" * 8 + b"same end"
+    refs = lambda *rows: spark.createDataFrame(list(rows), "digest binary, n bigint, first_id bigint, last_id bigint")
+    state = refstore.insert(refstore.empty(spark), refs((first, 2, 1, 5)), 1)
+    state = refstore.insert(state, refs((second, 1, 3, 3), (first, 1, 0, 0)), 1)
+    counts = refstore.counters(state)
+    assert (counts["filter_hits"], counts["false_hits"]) == (2, 1)
+    assert {(bytes(r["digest"]), r["n"], r["first_id"], r["last_id"]) for r in refstore.keys(state).collect()} == {(first, 3, 0, 5), (second, 1, 3, 3)}
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(5)
     keys = rng.integers(0, 2**63, 20_000).astype(np.uint64)
