@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from sidewise.operators import documents as D
 from sidewise.session import scratch_path
 from sidewise.sources import files as S
-from sidewise.sources import snapshots
+from sidewise.sources import keyed, snapshots
 from sidewise.streaming import ingest
 
-from . import query
+from . import ORACLES, QUERIES, marts, query  # noqa: F401 - the marts are registered before their export
 from .duck import sql
 from .inputs import Inputs
 
@@ -153,12 +153,20 @@ def _(i: Inputs) -> DataFrame:
     return S.list_partitions(records(i), BY, tournament_id=2)
 
 
-@query("partition_stats")
+_JSON = """'{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '","seconds":' || floor(epoch(ts))::bigint || ',"batch_id":"b' || (event_id % 3) || '"}'"""
+
+
+@query(
+    "partition_stats",
+    f"""select tournament_id, season_id, date, 1::bigint as batch_count, count(distinct batch_id) as manifest_count, count(*) as total_records,
+      sum(bytes)::bigint as total_size_bytes, round(sum(bytes)::decimal(38, 6) / 1048576, 2)::double as total_size_mb
+    from (select {_FIELDS}, strlen({_JSON}) + 1 as bytes from events) group by 1, 2, 3""",
+)
 def _(i: Inputs) -> DataFrame:
-    """File count and size depend on how Spark splits the write; records must add up."""
+    """The size of a partition is that of its lines, however they are split; a partition that fits in one task is one file."""
     path, manifests = scratch_path(i.spark, "batch"), scratch_path(i.spark, "manifests")
-    S.store_batch(records(i), path, manifests, BY)
-    files = S.data_files(i.spark, path, LAYOUT)
+    S.store_batch(records(i).drop("value"), path, manifests, BY)
+    files = S.data_files(i.spark, path, LAYOUT, "*.json")
     return S.partition_stats(files, i.spark.read.parquet(manifests))
 
 
@@ -170,11 +178,29 @@ def _(i: Inputs) -> DataFrame:
     return S.partition_stats(files, i.spark.read.parquet(manifests)).select(*BY, "manifest_count", "total_records")
 
 
-@query("export_csv_all", "select 'sidewise_segment' as table_name, count(distinct c_mktsegment) as row_count from customer union all select 'sidewise_stock', count(*) from part")
+#: The stored gold relations, in the order of their names.
+GOLD = sorted([
+    "mart_head_to_head", "mart_league_averages", "mart_match_predictions", "mart_team_attack", "mart_team_btts_analysis", "mart_team_defense",
+    "mart_team_discipline", "mart_team_form", "mart_team_overview", "mart_team_possession", "mart_team_season_summary",
+    "mart_upcoming_fixtures", "mart_upcoming_predictions",
+])
+
+
+@query("export_csv_all", "\nunion all ".join(f"select '{name}' as table_name, count(*) as row_count from ({ORACLES[name]})" for name in GOLD))
 def _(i: Inputs) -> DataFrame:
-    i.table("customer").groupBy("c_mktsegment").count().createOrReplaceTempView("sidewise_segment")
-    i.table("part").createOrReplaceTempView("sidewise_stock")
-    return S.export_csv_all(i.spark, ["sidewise_stock", "sidewise_segment"], scratch_path(i.spark, "csv"))
+    """Every gold relation is stored as a table and exported; the rows are counted in the files."""
+    tables, out = [], scratch_path(i.spark, "csv")
+    for name in GOLD:
+        path = scratch_path(i.spark, name)
+        tables.append(path.rsplit("/", 1)[-1].replace("-", "_"))
+        QUERIES[name](i.spark, i.sf_dir).write.option("path", path).saveAsTable(tables[-1])
+    exported = S.export_csv_all(i.spark, tables, out)
+    lines = i.spark.read.schema("line string, folder string").option("header", "true").csv(f"{out}/*")
+    found = lines.groupBy(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("table_name")).agg(F.count(F.lit(1)).alias("row_count"))
+    # A relation without rows has no file; a row must be in the files as often as it was written.
+    both = exported.join(found.select("table_name", F.col("row_count").alias("found")), "table_name", "left")
+    agreed = F.when(F.col("row_count") == F.coalesce("found", F.lit(0)), F.col("row_count"))
+    return both.select(F.regexp_extract("table_name", "^(.*)_[0-9a-f]+$", 1).alias("table_name"), agreed.alias("row_count"))
 
 
 @query("external_json_source", "select event_type, count(*) as n from events group by 1")
@@ -212,7 +238,7 @@ def _(i: Inputs) -> DataFrame:
     i.events.select("event_id", "user_id", "event_type").write.json(source)
     stream = ingest.read_ndjson_stream(i.spark, source, "event_id bigint, user_id bigint, event_type string")
     ingest.stream_upsert(stream, target, checkpoint, ["user_id"], ["event_id"]).awaitTermination()
-    return i.spark.read.schema("event_id bigint, user_id bigint").parquet(target).select("user_id", "event_id")
+    return keyed.scan(i.spark, target, "event_id bigint, user_id bigint, event_type string").select("user_id", "event_id")
 
 
 @query("stream_ndjson_upsert_batches", "select count(distinct user_id) as users, count(distinct user_id) as rows from events")
@@ -222,5 +248,5 @@ def _(i: Inputs) -> DataFrame:
     i.events.select("event_id", "user_id", "event_type").repartition(4, "event_id").write.json(source)
     stream = ingest.read_ndjson_stream(i.spark, source, "event_id bigint, user_id bigint, event_type string", max_files=1)
     ingest.stream_upsert(stream, target, checkpoint, ["user_id"], ["event_id"]).awaitTermination()
-    loaded = i.spark.read.schema("event_id bigint, user_id bigint").parquet(target)
+    loaded = keyed.scan(i.spark, target, "event_id bigint, user_id bigint, event_type string")
     return loaded.agg(F.count_distinct("user_id").alias("users"), F.count(F.lit(1)).alias("rows"))

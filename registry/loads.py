@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sidewise.operators import keyfilter
 from sidewise.operators import loads as L
 from sidewise.session import scratch_path
+from sidewise.sources import keyed
 
 from . import query
 from .duck import sql
@@ -109,6 +111,34 @@ def _(i: Inputs) -> DataFrame:
     return L.skip_existing(i.table("documents").select("doc_id"), i.table("labels"), ["doc_id"])
 
 
+_KEYED = "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz, date string"
+
+
+@query(
+    "insert_if_absent_keyed",
+    f"""with t as (select event_id, user_id from events where {_OLD} qualify row_number() over (partition by user_id order by ts, event_id) = 1)
+    select event_id, user_id, 0::bigint as load from t union all
+    select event_id, user_id, 1 from events where user_id not in (select user_id from t) qualify row_number() over (partition by user_id order by ts, event_id) = 1""",
+)
+def _(i: Inputs) -> DataFrame:
+    """Two loads into a bucketed table: the second meets the keys of the first and adds the others."""
+    root = scratch_path(i.spark, "keyed")
+    events = i.events.select(*_COLUMNS)
+    for part in (events.where("ts < timestamp_ntz'2024-01-06'"), events):
+        keyed.insert(part, root, ["user_id"], _first("ts", "event_id"), buckets=16)
+    return keyed.scan(i.spark, root, _KEYED).select("event_id", "user_id", "load")
+
+
+@query("skip_existing_prefiltered", "select doc_id from documents where doc_id not in (select doc_id from labels)")
+def _(i: Inputs) -> DataFrame:
+    """Only documents whose key the filter of the labels knows take part in the anti join."""
+    labels, segments = i.table("labels"), 4
+    path = scratch_path(i.spark, "keyfilter")
+    keyfilter.build(labels, ["doc_id"], F.lit(0), segments).write.parquet(path)
+    known = i.spark.read.schema(keyfilter.SCHEMA).parquet(path)
+    return keyfilter.missing_from(i.table("documents").select("doc_id"), labels, ["doc_id"], known, segments)
+
+
 @query("hwm_filter", f"select {_SELECT} from events where ts > (select max(ts) from events where {_OLD} and event_type <> 'click')")
 def _(i: Inputs) -> DataFrame:
     target = i.events.where("ts < timestamp_ntz'2024-01-06' and event_type <> 'click'")

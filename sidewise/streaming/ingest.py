@@ -6,14 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.joins import missing_from
-from ..operators.ranking import dedupe_latest
-
-EPOCH_COLUMN = "_epoch"
-
+from ..sources import keyed
 
 def read_ndjson_stream(spark: SparkSession, root: str, schema: str, max_files: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -24,30 +19,18 @@ def read_ndjson_stream(spark: SparkSession, root: str, schema: str, max_files: i
 
 def stream_upsert(
     stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order_by: Sequence[str],
-    available_now: bool = True,
+    available_now: bool = True, buckets: int = keyed.BUCKETS,
 ) -> StreamingQuery:
-    """Append the first record of every key to the parquet table ``target``.
+    """Add the first record of every key to the keyed table ``target``; ``keyed.scan`` reads it.
 
-    Each micro-batch compares its keys with the stored table, so there is no
-    streaming state to bound and no record is too late.  A batch owns the folder
-    of its epoch and overwrites it: a batch that is replayed after a failure
+    Each micro-batch compares its keys with the buckets that they fall in, so there is no
+    streaming state to bound, no record is too late, and a batch costs what it holds.
+    The epoch is the number of the load: a batch that is replayed after a failure
     leaves the same rows.
     """
 
     def store(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        fresh = dedupe_latest(batch, keys, [F.asc(c) for c in order_by])
-        schema = T.StructType([*batch.schema.fields, T.StructField(EPOCH_COLUMN, T.LongType())])
-        if epoch > 0:
-            known = spark.read.schema(schema).parquet(target).where(F.col(EPOCH_COLUMN) < epoch)
-            fresh = missing_from(fresh, known, keys)
-        (
-            fresh.withColumn(EPOCH_COLUMN, F.lit(epoch).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(EPOCH_COLUMN)
-            .parquet(target)
-        )
+        keyed.insert(batch, target, keys, [F.asc(c) for c in order_by], epoch, buckets)
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if available_now:
