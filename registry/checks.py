@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from sidewise.operators import quality as Q
 from sidewise.plans import appearances as A
-from sidewise.plans import gold, silver
+from sidewise.plans import gold
+from sidewise.session import scratch_path
 
-from . import query
-from .duck import AS_OF, rnd, sql, stat
+from . import ORACLES, QUERIES, marts, query  # noqa: F401 - the models are registered before their checks
+from .duck import AS_OF, KEPT, rnd, sql, stat
 from .inputs import Inputs
 
 
@@ -37,22 +38,100 @@ def _(i: Inputs) -> DataFrame:
     return Q.accepted_values(i.table("orders"), "o_orderstatus", ["F", "O"])
 
 
-@query("dq_model_columns", "select name, 0::bigint as violations from (select unnest(['dim_seasons.season_id', 'dim_teams.team_id', 'dim_date.date_day', 'fact_match.match_id']) as name)")
-def _(i: Inputs) -> DataFrame:
-    """Uniqueness of the model keys, as one labelled count per model."""
-    models = {
-        "dim_seasons.season_id": (silver.dim_seasons(i.staged), "season_id"),
-        "dim_teams.team_id": (silver.dim_teams(i.staged), "team_id"),
-        "dim_date.date_day": (silver.dim_date(i.staged), "date_day"),
-        "fact_match.match_id": (i.fact, "match_id"),
-    }
-    out = None
-    for name, (df, key) in models.items():
-        row = Q.unique(df, [key]).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("violations"))
-        out = row if out is None else out.unionByName(row)
+#: The tests of the models: per model and column whether it is a key, must be filled, has a parent or a list of values.
+MODEL_RULES: dict[str, list[Q.Rule]] = {
+    "fact_match": [
+        Q.Rule("match_id", unique=True, filled=True), Q.Rule("match_date", filled=True),
+        Q.Rule("home_team_id", filled=True, parent=("dim_teams", "team_id")), Q.Rule("away_team_id", filled=True, parent=("dim_teams", "team_id")),
+        Q.Rule("season_id", filled=True, parent=("dim_seasons", "season_id")), Q.Rule("tournament_id", filled=True, parent=("dim_tournaments", "tournament_id")),
+        Q.Rule("status_type", values=("finished",)), Q.Rule("winner_code", values=(1, 2, 3)), Q.Rule("has_statistics", values=(0, 1)),
+    ],
+    "fact_team_match": [
+        Q.Rule("match_id", filled=True, parent=("fact_match", "match_id")), Q.Rule("team_id", filled=True, parent=("dim_teams", "team_id")),
+        Q.Rule("period", filled=True, values=("ALL", "1ST", "2ND")),
+    ],
+    "fact_season_team": [
+        Q.Rule("season_id", filled=True, parent=("dim_seasons", "season_id")), Q.Rule("team_id", filled=True, parent=("dim_teams", "team_id")),
+        Q.Rule("matches_played", filled=True),
+    ],
+    "dim_teams": [Q.Rule("team_id", unique=True, filled=True), Q.Rule("team_name", filled=True)],
+    "dim_seasons": [Q.Rule("season_id", unique=True, filled=True), Q.Rule("season_year", filled=True)],
+    "dim_tournaments": [Q.Rule("tournament_id", unique=True, filled=True)],
+    "dim_period": [Q.Rule("period_code", unique=True, filled=True, values=("ALL", "1ST", "2ND"))],
+    "dim_date": [Q.Rule("date_day", unique=True, filled=True)],
+    "mart_team_overview": [
+        Q.Rule("team_id", filled=True, parent=("dim_teams", "team_id")), Q.Rule("season_id", filled=True), Q.Rule("matches_played", filled=True),
+        Q.Rule("total_points", filled=True),
+    ],
+    "mart_team_attack": [Q.Rule("team_id", filled=True), Q.Rule("season_id", filled=True), Q.Rule("total_goals", filled=True)],
+    "mart_team_defense": [Q.Rule("team_id", filled=True), Q.Rule("season_id", filled=True)],
+    "mart_team_form": [Q.Rule("team_id", filled=True), Q.Rule("last_5_results", filled=True)],
+}
+
+#: Faults planted into the models, as (column, rows it concerns, value there), and the rows that appear twice; both engines read them.
+FAULTS = {
+    "fact_match": [("home_team_id", "match_id % 17 = 3", "null"), ("away_team_id", "match_id % 19 = 4", "away_team_id + 500"),
+                   ("season_id", "match_id % 23 = 5", "season_id - 1000"), ("winner_code", "match_id % 29 = 6", "7"), ("status_type", "match_id % 31 = 2", "'open'")],
+    "fact_team_match": [("team_id", "match_id % 13 = 1", "null"), ("period", "match_id % 37 = 8", "'OT'"), ("match_id", "match_id % 41 = 9", "-match_id")],
+    "fact_season_team": [("team_id", "team_id = 4", "904"), ("matches_played", "team_id = 5", "null")],
+    "dim_teams": [("team_name", "team_id % 6 = 2", "null")],
+    "dim_seasons": [("season_year", "season_id = 1999", "null")],
+    "dim_period": [("period_code", "period_code = '2ND'", "'HT'")],
+    "mart_team_overview": [("total_points", "team_id = 6", "null"), ("season_id", "team_id = 7", "null")],
+    "mart_team_attack": [("total_goals", "team_id % 5 = 1", "null")],
+    "mart_team_form": [("last_5_results", "team_id = 8", "null"), ("team_id", "team_id = 9", "null")],
+}
+TWICE = {"fact_match": "match_id % 11 = 7", "dim_teams": "team_id % 7 = 3", "dim_tournaments": "tournament_id = 1", "dim_date": "year = 1998 and month = 3"}
+
+
+def _model_sql(model: str) -> str:
+    base = f"select * from ({ORACLES[model]})"
+    if model in TWICE:
+        base = f"select m.* from ({base}) m, (values (0), (1)) v(again) where again = 0 or {TWICE[model]}"
+    cases = [f"case when {where} then {value} else {column} end as {column}" for column, where, value in FAULTS.get(model, [])]
+    return f"select * replace ({', '.join(cases)}) from ({base})" if cases else base
+
+
+def _rule_sql(model: str, rule: Q.Rule) -> list[str]:
+    c, said = rule.column, lambda test, n: f"select '{model}' as model, '{rule.column}' as column_name, '{test}' as test, {n} as violations"
+    out = []
+    if rule.unique:
+        out.append(f"{said('unique', 'count(*)')} from (select {c} from {model}_x where {c} is not null group by {c} having count(*) > 1)")
+    if rule.filled:
+        out.append(f"{said('not_null', 'count(*)')} from {model}_x where {c} is null")
+    if rule.parent:
+        parent, field = rule.parent
+        out.append(f"{said('relationships', 'count(*)')} from {model}_x where {c} is not null and {c} not in (select {field} from {parent}_x where {field} is not null)")
+    if rule.values:
+        out.append(f"{said('accepted_values', 'count(distinct ' + c + ')')} from {model}_x where {c} not in ({', '.join(map(repr, rule.values))})")
     return out
 
 
+def _model_checks_sql() -> str:
+    models = ",\n".join(f"{m}_x as materialized ({_model_sql(m)})" for m in MODEL_RULES)
+    return f"with {models}\n" + "\nunion all ".join(part for m, rules in MODEL_RULES.items() for r in rules for part in _rule_sql(m, r))
+
+
+def _planted_model(i: Inputs, model: str) -> DataFrame:
+    df = QUERIES[model](i.spark, i.sf_dir)
+    if model in TWICE:
+        df = df.unionByName(df.where(TWICE[model]))
+    # All conditions see the values before any fault.
+    return df.withColumns({c: F.expr(f"case when {where} then {value} else {c} end") for c, where, value in FAULTS.get(model, [])})
+
+
+@query("dq_model_columns", _model_checks_sql())
+def _(i: Inputs) -> DataFrame:
+    """All tests of the twelve models over stored tables with planted faults."""
+    stored = {}
+    for model, rules in MODEL_RULES.items():
+        # Columns that rules or relations name; the other ones are not written.
+        path = scratch_path(i.spark, f"checked-{model}")
+        _planted_model(i, model).select(*[r.column for r in rules]).write.parquet(path)
+        stored[model] = i.spark.read.parquet(path)
+    return Q.model_checks(stored, MODEL_RULES)
+
+
 # A gold table in which teams 3 and 7 are off by one.
 def _planted(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column) + F.when(F.col("team_id").isin(3, 7), 1).otherwise(0))
@@ -108,7 +187,7 @@ def _(i: Inputs) -> DataFrame:
     return Q.orphans(i.team_match(A.XG_METRICS), i.fact, "match_id", ["match_id"])
 
 
-@query("dq_orphan_stats", sql("select match_id, period from stats where match_id not in (select match_id from staged)"))
+@query("dq_orphan_stats", sql("select match_id, period from stats anti join kept using (match_id)", **KEPT))
 def _(i: Inputs) -> DataFrame:
     return Q.orphans(i.stats, i.staged, "match_id", ["match_id", "period"])
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,47 @@ class QualityError(RuntimeError):
     """A gate found violations."""
 
 
+@dataclass(frozen=True)
+class Rule:
+    """What a column must hold: each value once, no null, only values of ``parent`` (model, column) or of a list."""
+
+    column: str
+    unique: bool = False
+    filled: bool = False
+    parent: tuple[str, str] | None = None
+    values: tuple = ()
+
+
+def model_checks(models: dict[str, DataFrame], rules: dict[str, list[Rule]]) -> DataFrame:
+    """model, column_name, test and violations for every rule over every model; 0 means pass.
+
+    Nulls of all columns of a model are counted in one scan.  ``unique`` counts the values
+    that occur again, ``relationships`` the rows without a parent, ``accepted_values`` the
+    values off the list; none of these three counts nulls.
+    """
+    c, out = F.col, []
+
+    def labelled(counted: DataFrame, model: str, column: str, test: str) -> DataFrame:
+        return counted.select(F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(test).alias("test"), "violations")
+
+    violations = F.count(F.lit(1)).alias("violations")
+    for model, of in rules.items():
+        df = models[model]
+        filled = [r.column for r in of if r.filled]
+        if filled:
+            nulls = df.agg(*[F.count_if(c(name).isNull()).alias(name) for name in filled]).unpivot([], filled, "column_name", "violations")
+            out.append(nulls.select(F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"), "violations"))
+        for rule in of:
+            if rule.unique:
+                out.append(labelled(unique(df, [rule.column]).agg(violations), model, rule.column, "unique"))
+            if rule.parent:
+                parent, field = rule.parent
+                out.append(labelled(relationships(df, rule.column, models[parent], field).agg(violations), model, rule.column, "relationships"))
+            if rule.values:
+                out.append(labelled(accepted_values(df, rule.column, rule.values).agg(violations), model, rule.column, "accepted_values"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     present = df.dropna(how="any", subset=list(keys))
     return present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
