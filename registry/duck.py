@@ -70,15 +70,23 @@ select * from matches where status_type not in ('postponed', 'cancelled', 'retir
 and (status_description <> 'Removed' or match_id in (select match_id from stats))
 """
 
-FACT = """
+# The same rows as STAGED by joins alone, for queries that go through all statistics beside it.
+KEPT = {
+    "with_stats": "select distinct match_id as known from stats",
+    "kept": """select * exclude (known) from matches left join with_stats on known = match_id
+        where status_type not in ('postponed', 'cancelled', 'retired') and (status_description <> 'Removed' or known is not null)""",
+}
+
+PLAYED = "status_type = 'finished' and status_description not in ('Canceled', 'Cancelled', 'Postponed', 'Abandoned')"
+
+FACT = f"""
 select match_id, match_slug, start_timestamp::date as match_date, start_timestamp, status_type, status_description,
   winner_code, home_score_current as home_score, away_score_current as away_score,
   home_score_period1, ifnull(home_score_period2, home_score_current - home_score_period1) as home_score_period2,
   away_score_period1, ifnull(away_score_period2, away_score_current - away_score_period1) as away_score_period2,
   home_team_id, home_team_name, away_team_id, away_team_name, tournament_id, tournament_name,
   season_id, season_name, season_year, country_name, 1 as has_statistics
-from staged where status_type = 'finished'
-  and status_description not in ('Canceled', 'Cancelled', 'Postponed', 'Abandoned')
+from staged where {PLAYED}
 """
 
 # One row per (match, side, metric, period); values in hundredths, shares rounded half up.
@@ -205,4 +213,4 @@ def share(predicate: str, where: str = "true", digits: int = 1) -> str:
     return rnd(f"100 * count(*) filter (({predicate}) and ({where}))", f"count(*) filter ({where})", digits)
 
 
-__all__ = ["AS_OF", "RELATIONS", "mean", "mean0", "rnd", "share", "sql", "stat"]
+__all__ = ["AS_OF", "KEPT", "PLAYED", "RELATIONS", "mean", "mean0", "rnd", "share", "sql", "stat"]

@@ -12,7 +12,7 @@ from sidewise.plans import appearances as A
 from sidewise.plans import bronze, gold
 
 from . import query
-from .duck import rnd, sql, stat
+from .duck import KEPT, PLAYED, rnd, sql, stat
 from .inputs import Inputs
 
 # --- joins -------------------------------------------------------------------
@@ -20,7 +20,7 @@ from .inputs import Inputs
 
 @query(
     "join_inner_using",
-    sql("select match_id, period, statistic_key, season_id from stats join staged using (match_id)"),
+    sql("select match_id, period, statistic_key, season_id from stats join kept using (match_id)", **KEPT),
 )
 def _(i: Inputs) -> DataFrame:
     return i.stats.join(i.staged.drop("tournament_id"), "match_id").select("match_id", "period", "statistic_key", "season_id")
@@ -194,7 +194,7 @@ def _(i: Inputs) -> DataFrame:
     return J.found_in(_order_keys(i), _line_keys(i), ["o_orderkey"])
 
 
-@query("semi_in", sql("select match_id, period, statistic_key from stats where match_id in (select match_id from fact)"))
+@query("semi_in", sql(f"select match_id, period, statistic_key from stats semi join (select match_id from kept where {PLAYED}) f using (match_id)", **KEPT))
 def _(i: Inputs) -> DataFrame:
     return J.found_in(i.stats, i.fact, ["match_id"]).select("match_id", "period", "statistic_key")
 

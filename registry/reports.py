@@ -317,7 +317,17 @@ def _(i: Inputs) -> DataFrame:
     return R.id_overlap(customers, suppliers, ["nation_key", "id"])
 
 
-@query("table_columns")
+@query(
+    "table_columns",
+    """with named(ordinal_position, column_name, data_type) as (values (1, 'event_id', 'bigint'), (2, 'ts', 'timestamp_ntz'), (3, 'user_id', 'bigint'),
+        (4, 'event_type', 'string'), (5, 'value', 'double'), (6, 'props', 'string')),
+    counts as (
+        select count(event_id) as event_id, count(ts) as ts, count(user_id) as user_id, count(event_type) as event_type, count(value) as value, count(props) as props
+        from events
+    )
+    select ordinal_position, column_name, data_type, true as is_nullable, non_null
+    from named join (unpivot counts on columns(*) into name column_name value non_null) using (column_name)""",
+)
 def _(i: Inputs) -> DataFrame:
     """Schema of the events table joined with how many values each column holds."""
     events = i.table("events")
