@@ -1,10 +1,14 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Benchmark items are taken in blocks of a bounded size.  For each block one pass over
-all documents finds its word n-grams and cuts a window around places where several
-n-grams of one item lie together.  All n-grams of an item are seeds, so copies of it
+all documents finds its word n-grams and cuts a window around places where n-grams of
+one item lie together.  All n-grams of an item are seeds, so copies of it
 in other documents change nothing; only windows that share too few words with the
-item to reach the score are not aligned with it.
+item to reach the score are not aligned with it.  An n-gram is three words of which one
+neighbour may be skipped, in the item, in the document or in both, so edits that
+are spread evenly leave seeds, too: what keeps none is a run of at most two words
+between any two edits and two edits around each such pair, which only insertions
+can do at a score just above the limit.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import on_arrow, texts
 
 GRAM = 3
+#: Places of an n-gram's second and third word after its first.
+STEPS = ((1, 2), (1, 3), (2, 3))
 #: Characters of benchmark text that are sent to the tasks at once.
 BLOCK_CHARS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -44,21 +50,28 @@ class Block:
         self.base = np.uint64(len(self.words) + 1)
         self.items = [(item, np.array([self.words[w] for w in words], np.int64)) for item, words in split]
         # (n-gram, item) pairs sorted by n-gram; an item's index is its place in ``items``.
-        pairs = {(int(code), nth) for nth, (_, ids) in enumerate(self.items) for code in self.codes(ids)}
+        pairs = {(int(code), nth) for nth, (_, ids) in enumerate(self.items) for code in self.codes(ids)[1]}
         self.pairs = np.array(sorted(pairs), np.uint64).reshape(-1, 2)
         self.grams = np.unique(self.pairs[:, 0])
         self.first = np.searchsorted(self.pairs[:, 0], self.grams)
         self.last = np.searchsorted(self.pairs[:, 0], self.grams, side="right")
         self.owner = self.pairs[:, 1].astype(np.int64)
         self.lengths = np.array([len(ids) for _, ids in self.items], np.int64)
-        self.distinct = np.bincount(self.owner, minlength=len(self.items))
         #: The distinct words of each item and how often it has them.
         self.counts = [np.unique(ids, return_counts=True) for _, ids in self.items]
         self.memo: dict[str, int] = {}
 
-    def codes(self, ids: np.ndarray) -> np.ndarray:
-        ids = ids.astype(np.uint64)
-        return (ids[:-2] * self.base + ids[1:-1]) * self.base + ids[2:]
+    def codes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First places and codes of all n-grams of known words."""
+        places, codes = [], []
+        for second, third in STEPS:
+            n = max(0, len(ids) - third)
+            one, two, three = ids[:n], ids[second : second + n], ids[third : third + n]
+            at = np.flatnonzero((one > 0) & (two > 0) & (three > 0))
+            one, two, three = (some[at].astype(np.uint64) for some in (one, two, three))
+            places.append(at)
+            codes.append((one * self.base + two) * self.base + three)
+        return np.concatenate(places), np.concatenate(codes)
 
     def numbered(self, text: str) -> np.ndarray:
         """The text's words as numbers."""
@@ -83,33 +96,29 @@ class Block:
         ids = self.numbered(text)
         if len(ids) < GRAM or not len(self.grams):
             return []
-        known = ids > 0
-        at = np.flatnonzero(known[:-2] & known[1:-1] & known[2:])
+        at, codes = self.codes(ids)
         if not len(at):
             return []
-        codes = self.codes(ids)[at]
         gram = np.minimum(np.searchsorted(self.grams, codes), len(self.grams) - 1)
         hit = self.grams[gram] == codes
         at, gram = at[hit], gram[hit]
+        if not len(at):
+            return []
         # Every hit once for each item that has the n-gram.
         times = self.last[gram] - self.first[gram]
         start = np.repeat(self.first[gram] - np.cumsum(times) + times, times)
         item = self.owner[start + np.arange(times.sum())]
-        at, gram = np.repeat(at, times), np.repeat(gram, times)
-        often = np.bincount(item, minlength=len(self.items))[item] >= np.minimum(2, self.distinct[item])
-        order = np.lexsort((at[often], item[often]))
-        item, at, gram = item[often][order], at[often][order], gram[often][order]
-        if not len(item):
-            return []
+        at = np.repeat(at, times)
+        order = np.lexsort((at, item))
+        item, at = item[order], at[order]
         cut = np.flatnonzero((np.diff(item) != 0) | (np.diff(at) > self.lengths[item[1:]])) + 1
         windows = []
         for some in np.split(np.arange(len(item)), cut):
             nth = int(item[some[0]])
-            if len(np.unique(gram[some])) >= min(2, int(self.distinct[nth])):
-                reach = int(self.lengths[nth])
-                low, high = max(0, int(at[some[0]]) - reach), int(at[some[-1]]) + GRAM + reach
-                if self.may_reach(nth, ids[low:high]):
-                    windows.append({"item": nth, "at": low, "words": ids[low:high].tolist()})
+            reach = int(self.lengths[nth])
+            low, high = max(0, int(at[some[0]]) - reach), int(at[some[-1]]) + GRAM + 1 + reach
+            if self.may_reach(nth, ids[low:high]):
+                windows.append({"item": nth, "at": low, "words": ids[low:high].tolist()})
         return windows
 
 

@@ -414,6 +414,49 @@ def test_decontamination_of_whole_and_edited_copies_together(spark, documents):
     assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == expected
 
 
+def test_evenly_spread_edits_leave_seeds():
+    rng = random.Random(7)
+    words = [f"w{n}" for n in rng.sample(range(10_000), 41)]
+    block = decontaminate.Block([(1, " ".join(words))])
+    spread = lambda n, put: [x for k, w in enumerate(words) for x in ([w] if k % 3 != n else put(w))]
+    around = [f"out{n}" for n in range(60)]
+    edits = {
+        "replaced": [spread(n, lambda w: ["other"]) for n in range(3)], "deleted": [spread(n, lambda w: []) for n in range(3)],
+        "inserted": [spread(n, lambda w: ["new", w]) for n in range(3)],
+    }
+    for _ in range(300):
+        # One to thirteen words at any places replaced, deleted or moved apart.
+        copy = [[w] for w in words]
+        for spot in rng.sample(range(41), rng.randrange(1, 14)):
+            copy[spot] = rng.choice([["other"], [], ["new", copy[spot][0]]])
+        edits.setdefault("mixed", []).append([x for part in copy for x in part])
+    reached = Counter()
+    for kind, copies in edits.items():
+        for copy in copies:
+            text = " ".join([*around, *copy, *around])
+            (_, item), = block.items
+            score = decontaminate.align(item, block.numbered(text))[0]
+            if score >= decontaminate.LEAST_SCORE:
+                reached[kind] += 1
+                found = [decontaminate.align(item, np.array(w["words"]))[0] for w in block.find(text)]
+                assert found == [score], (kind, score)
+    short = decontaminate.Block([(1, "one two three four")])
+    assert len(short.find("before one two three other after")) == 1 and not short.find("before one other three after four")
+    assert reached["replaced"] and reached["deleted"] and reached["inserted"] == 3 and reached["mixed"] > 250
+
+
+def test_decontamination_equals_unseeded_alignment(spark, documents):
+    items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{SF}/benchmark.parquet").to_pylist()]
+    block, expected = decontaminate.Block(items), {}
+    for i, text in documents:
+        ids = block.numbered(text or "")
+        for item, words in block.items:
+            # An alignment needs half of the item's words; those that share fewer can't reach the score.
+            if len(ids) and 2 * np.isin(words, ids).sum() >= len(words) and (score := decontaminate.align(words, ids)[0]) >= decontaminate.LEAST_SCORE:
+                expected[i, item] = score
+    assert expected == {(r["doc_id"], r["item_id"]): r["score"] for r in registered.op8(spark, SF).collect()}
+
+
 def test_alignment_equals_plain_dynamic_programme():
     rng = np.random.default_rng(6)
     for _ in range(40):
