@@ -97,22 +97,35 @@ def appearances_from_facts(fact_match: DataFrame, fact_team_match: DataFrame, me
     return out
 
 
-def _totals(long: DataFrame) -> DataFrame:
-    """(team_id, season_id, metric, value) rows to one map of totals per team and season.
+def summed(long: DataFrame) -> DataFrame:
+    """Sum, rows other than 0 and rows of each (team, season, metric) of (team_id, season_id, metric, value) rows.
 
-    Partial aggregation leaves one row per (team, season, metric) and task; the
-    map holds at most the listed metrics.
+    All three are linear, so a stored state of them takes signed changes.  Partial
+    aggregation leaves one row per (team, season, metric) and task.
     """
     value = F.col("value")
-    sums = long.where(value.isNotNull()).groupBy("team_id", "season_id", "metric").agg(
-        F.sum(value).alias("total"), F.count_if(value != 0).alias("nonzero")
+    return long.where(value.isNotNull()).groupBy("team_id", "season_id", "metric").agg(
+        F.sum(value).alias("total"), F.count_if(value != 0).alias("nonzero"), F.count(F.lit(1)).alias("n")
     )
+
+
+def totals_of(sums: DataFrame) -> DataFrame:
+    """One map of totals per team and season; it holds at most the listed metrics."""
     entry = F.struct("metric", F.struct("total", "nonzero"))
     return sums.groupBy("team_id", "season_id").agg(F.map_from_entries(F.collect_list(entry)).alias("totals"))
 
 
+def _totals(long: DataFrame) -> DataFrame:
+    return totals_of(summed(long))
+
+
 def season_totals(fact_match: DataFrame, values: DataFrame, metrics: Sequence[str] = ALL_METRICS) -> DataFrame:
-    """Season totals of full-match statistics straight from the long silver table.
+    """Season totals of full-match statistics straight from the long silver table."""
+    return _totals(season_entries(fact_match, values, metrics))
+
+
+def season_entries(fact_match: DataFrame, values: DataFrame, metrics: Sequence[str] = ALL_METRICS) -> DataFrame:
+    """What each match adds to the totals of its teams, as (season_id, team_id, metric, value) rows.
 
     Sums, zero-filled means and means of non-zero values are all linear, so no
     per-match pivot is needed: a metric that appears in several groups is made
@@ -137,7 +150,7 @@ def season_totals(fact_match: DataFrame, values: DataFrame, metrics: Sequence[st
         F.when(is_xg, entry("home_team_id", against, "away_value")),
         F.when(is_xg, entry("away_team_id", against, "home_value")),
     )
-    return _totals(once.join(played, "match_id").select("season_id", F.inline(F.array_compact(entries))))
+    return once.join(played, "match_id").select("season_id", F.inline(F.array_compact(entries)))
 
 
 def season_totals_from_facts(
