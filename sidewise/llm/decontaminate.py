@@ -31,7 +31,7 @@ BLOCK_CHARS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Score of an alignment over that of the unchanged item from which a document counts as contaminated.
 LEAST_SCORE = 0.5
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 _NOT_WORD = re.compile(r"\W+")
 
 

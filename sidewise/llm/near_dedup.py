@@ -34,7 +34,7 @@ SHORT_LIST, SHORT_CELL_LIST = 24, 128
 #: and the part of the members that may be left for it.
 MOST_LEVELS = 3
 LEAST_GAIN = 0.5
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 _MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)]
 _HASHES: dict[bytes, int] = {}
 
