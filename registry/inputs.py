@@ -67,7 +67,11 @@ def written(build, write=_write_parquet, read=_read_parquet):
 by_match = partial(written, write=partial(write_bucketed, key="match_id"), read=SparkSession.table)
 
 
-WRITTEN_RELATIONS = ["matches", "stats", "side_values", "match_documents", "match_variants", "stats_documents", "full_stats", "upcoming_documents"]
+# Each after those that it reads.
+WRITTEN_RELATIONS = [
+    "matches", "stats", "match_documents", "match_variants", "full_matches", "stats_documents", "full_stats", "staged", "fact",
+    "side_values", "upcoming_documents",
+]
 
 
 class Inputs:
@@ -173,30 +177,37 @@ class Inputs:
     @written
     def full_stats(self) -> DataFrame:
         """The bronze statistics, from the documents."""
-        return bronze.full_stats_data(self.stats_documents, self.matches)
+        return bronze.full_stats_data(self.stats_documents, self.full_matches)
 
-    # --- silver and gold relations -----------------------------------------
+    @by_match
+    def full_matches(self) -> DataFrame:
+        """The bronze matches, from the documents."""
+        return bronze.full_matches_data(self.match_variants)
+
+    # --- silver and gold relations: each from the stored one before it ------
 
     @partial(written, write=silver.write_side_values)
     def side_values(self) -> DataFrame:
-        """The long silver table, stored by period from the statistics."""
-        return self.stats
+        """The long silver table, stored by period from the bronze statistics."""
+        return self.full_stats
 
-    @cached_property
+    @by_match
     def staged(self) -> DataFrame:
-        return silver.staging_matches(self.matches, self.stats)
+        """The staging table of matches."""
+        return silver.staging_matches(self.full_matches, self.full_stats)
 
     @cached_property
     def staged_stats(self) -> DataFrame:
         return silver.staging_stats(self.full_stats, self.staged)
 
-    @cached_property
+    @by_match
     def fact(self) -> DataFrame:
+        """The match fact that all marts read."""
         return silver.fact_match(self.staged)
 
     def team_match(self, metrics: list[str] | None = None) -> DataFrame:
         """Without ``metrics`` the columns are those of the keys that the statistics hold."""
-        columns = metric_columns(self.stats, "statistic_key", "statistic_name") if metrics is None else name_columns(metrics)
+        columns = metric_columns(self.full_stats, "statistic_key", "statistic_name") if metrics is None else name_columns(metrics)
         return silver.fact_team_match(self.side_values, self.staged, columns)
 
     def sides(self, metrics: list[str] = METRICS) -> DataFrame:
@@ -205,11 +216,18 @@ class Inputs:
     def totals(self, metrics: list[str] = METRICS) -> DataFrame:
         return appearances.season_totals(self.fact, self.side_values, metrics)
 
-    def form(self, codes: dict[str, int] = gold.STANDARD_CODES) -> DataFrame:
-        return gold.mart_team_form(self.fact, codes)
+    def history(self, targets: DataFrame | None) -> DataFrame:
+        """The match fact, or what of it the features of the ``targets`` need."""
+        return self.fact if targets is None else scorer.history_of(targets, self.fact)
+
+    def form(self, codes: dict[str, int] = gold.STANDARD_CODES, targets: DataFrame | None = None) -> DataFrame:
+        return gold.mart_team_form(self.history(targets), codes)
 
-    def venue(self, codes: dict[str, int] = gold.STANDARD_CODES) -> DataFrame:
-        return scorer.venue_features(self.sides(appearances.SCORER_METRICS), codes)
+    def venue(self, codes: dict[str, int] = gold.STANDARD_CODES, targets: DataFrame | None = None) -> DataFrame:
+        played, values = self.history(targets), self.side_values
+        if targets is not None:
+            values = values.join(played.select("match_id"), "match_id", "left_semi")
+        return scorer.venue_features(appearances.appearances(played, values, appearances.SCORER_METRICS), codes)
 
     # --- raw documents -----------------------------------------------------
 

@@ -171,7 +171,7 @@ def _(i: Inputs) -> DataFrame:
     ),
 )
 def _(i: Inputs) -> DataFrame:
-    return silver.fact_season_team(i.team_match([FIXED[0]]), i.staged)
+    return silver.fact_season_team(i.side_values, i.staged)
 
 
 # --- team marts --------------------------------------------------------------
@@ -679,20 +679,24 @@ def predictions_sql(venue: str, form: str, integer_share: bool = True) -> str:
     return sql(with_errors, predicted=body, scored=_score_sql(targets, integer_share), venue=venue, team_form=form)
 
 
+def _match_predictions(i: Inputs, codes: dict[str, int] = gold.STANDARD_CODES, **options) -> DataFrame:
+    recent = scorer.recent_matches(i.fact, AS_OF)
+    return scorer.mart_match_predictions(i.fact, i.venue(codes, recent), i.form(codes, recent), AS_OF, **options)
+
+
 @query("mart_match_predictions", predictions_sql(_venue_sql(1, 2, 3), FORM_STANDARD))
 def _(i: Inputs) -> DataFrame:
-    return scorer.mart_match_predictions(i.fact, i.venue(), i.form(), AS_OF)
+    return _match_predictions(i)
 
 
 @query("mart_match_predictions_alternate_codes", predictions_sql(_venue_sql(1, 3, 2), FORM_ALTERNATE))
 def _(i: Inputs) -> DataFrame:
-    codes = gold.ALTERNATE_CODES
-    return scorer.mart_match_predictions(i.fact, i.venue(codes), i.form(codes), AS_OF)
+    return _match_predictions(i, gold.ALTERNATE_CODES)
 
 
 @query("mart_match_predictions_true_share", predictions_sql(_venue_sql(1, 2, 3), FORM_STANDARD, False))
 def _(i: Inputs) -> DataFrame:
-    return scorer.mart_match_predictions(i.fact, i.venue(), i.form(), AS_OF, integer_share=False)
+    return _match_predictions(i, integer_share=False)
 
 
 @query(
@@ -708,7 +712,7 @@ def _(i: Inputs) -> DataFrame:
     from sidewise.operators.documents import unnest_upcoming
 
     fixtures = gold.mart_upcoming_fixtures(unnest_upcoming(i.upcoming_documents))
-    return scorer.mart_upcoming_predictions(fixtures, i.venue(), i.form())
+    return scorer.mart_upcoming_predictions(fixtures, i.venue(targets=fixtures), i.form(targets=fixtures))
 
 
 # --- bronze ------------------------------------------------------------------

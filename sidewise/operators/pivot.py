@@ -63,19 +63,21 @@ def agg_pivot(
     return df.groupBy(*keys).agg(*aggs)
 
 
-def pivot_map(
-    df: DataFrame, keys: Sequence[str], name: str, values: Sequence[str], listed: Sequence[str], out: str = "cells"
-) -> DataFrame:
-    """One row per ``keys`` with a map from metric to a struct of ``values``.
+def pivot_listed(df: DataFrame, keys: Sequence[str], name: str, values: Sequence[str], listed: Sequence[str]) -> DataFrame:
+    """One row per ``keys`` with an array per value column: its maxima in the order of the ``listed`` metrics.
 
-    For wide pivots: metrics are first made unique per key, which collapses
-    repeats before the exchange, and the map then holds at most the ``listed``
-    ones.  Columns are looked up from the map where they are needed, instead of
-    evaluating one conditional aggregate per column and row.
+    For wide pivots: the built-in pivot makes metrics unique per key first, which
+    collapses repeats before the exchange, and puts each cell into its place
+    once, where conditional aggregates or a map are searched per column and row.
     """
-    once = df.groupBy(*keys, name).agg(*[F.max(v).alias(v) for v in values])
-    cell = F.when(F.col(name).isin(list(listed)), F.struct(F.col(name), F.struct(*values)))
-    return once.groupBy(*keys).agg(F.map_from_entries(F.collect_list(cell)).alias(out))
+    maxima = [F.max(v).alias(v) for v in values]
+    if not listed:
+        return df.select(*keys).distinct().select("*", *[F.array().alias(v) for v in values])
+    wide = df.groupBy(*keys).pivot(name, list(listed)).agg(*maxima)
+    # Its columns are metric by metric, each with all values; named by place, since metrics are free text.
+    wide = wide.toDF(*keys, *[f"_{v}_{n}" for n in range(len(listed)) for v in range(len(values))])
+    cells = [F.array(*[f"_{v}_{n}" for n in range(len(listed))]).alias(value) for v, value in enumerate(values)]
+    return wide.select(*keys, *cells)
 
 
 def with_columns_present(df: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:

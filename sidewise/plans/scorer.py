@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import flag, zero
 from ..operators.filters import recent_window
-from ..operators.sides import AWAY, HOME
+from ..operators.sides import AWAY, HOME, side_union
 from .gold import STANDARD_CODES, TEAM_SEASON
 
 # Weights, form steps and limits of the scoring formula.
@@ -53,6 +53,26 @@ def venue_features(sides: DataFrame, codes: dict[str, int] = STANDARD_CODES) ->
     return sides.groupBy(*TEAM_SEASON).agg(*aggs)
 
 
+def recent_matches(fact_match: DataFrame, as_of: str | Column, days: int = 90) -> DataFrame:
+    """Finished matches of the last ``days``."""
+    return recent_window(fact_match.where(F.col("status_type") == "finished"), "match_date", as_of, days)
+
+
+def history_of(matches: DataFrame, fact_match: DataFrame) -> DataFrame:
+    """The rows of ``fact_match`` that play a team of ``matches`` in the same season.
+
+    Features of these teams and seasons need no other row, so the statistics and
+    the windows of all other seasons are never touched.
+    """
+    teams = side_union(matches, ["season_id"], {"team_id": "home_team_id"}, {"team_id": "away_team_id"})
+    wanted = teams.select(*TEAM_SEASON).distinct()
+    out = fact_match
+    for side in ("home", "away"):
+        named = wanted.select(F.col("team_id").alias(f"{side}_team_id"), "season_id", F.lit(True).alias(f"_{side}"))
+        out = out.join(named, [f"{side}_team_id", "season_id"], "left")
+    return out.where(F.col("_home") | F.col("_away")).select(*fact_match.columns)
+
+
 # Feature of the scored match: output name without side, source in the two feature tables.
 _VENUE = {
     "avg_goals_scored": "goals_scored", "avg_goals_conceded": "goals_conceded", "avg_xg": "xg",
@@ -177,10 +197,10 @@ def mart_match_predictions(
     """Scored finished matches of the last ``days``, with the actual outcome.
 
     Season features include the scored match itself: the mart validates the
-    formula, it does not forecast.
+    formula, it does not forecast.  ``venue`` and ``form`` need only hold the
+    teams and seasons of ``history_of(recent_matches(...), fact_match)``.
     """
-    recent = recent_window(fact_match.where(F.col("status_type") == "finished"), "match_date", as_of, days)
-    scored = score(with_features(recent, venue, form), integer_share)
+    scored = score(with_features(recent_matches(fact_match, as_of, days), venue, form), integer_share)
     home, away = F.col("home_score"), F.col("away_score")
     p_home, p_draw, p_away = F.col("p_home"), F.col("p_draw"), F.col("p_away")
     actual = (

@@ -12,7 +12,7 @@ from ..functions.keys import surrogate_key
 from ..functions.measures import STAT_TYPE
 from ..operators.filters import finished_filter, stage_filter
 from ..operators.loads import hwm_filter, insert_if_absent
-from ..operators.pivot import agg_pivot, pivot_map
+from ..operators.pivot import agg_pivot, pivot_listed
 from ..operators.sides import side_union
 
 # Columns of the two staging tables.
@@ -210,19 +210,10 @@ def fact_team_match(values: DataFrame, staged: DataFrame, columns: Sequence[tupl
     shuffled and joined as when the sides are split before the pivot.
     """
     teams = staged.select("match_id", "home_team_id", "home_team_name", "away_team_id", "away_team_name")
-    raw_keys = [raw for raw, _ in columns]
-    cells = pivot_map(values, ["match_id", "period"], "metric", ["home_value", "away_value"], raw_keys)
-    # Slots in column order, so that each output column is a plain array access.
-    listed = F.array(*[F.lit(raw) for raw in raw_keys])
-    slots = cells.select(
-        "match_id",
-        "period",
-        F.transform(listed, lambda raw: F.col("cells")[raw]["home_value"]).alias("home_values"),
-        F.transform(listed, lambda raw: F.col("cells")[raw]["away_value"]).alias("away_values"),
-    )
+    slots = pivot_listed(values, ["match_id", "period"], "metric", ["home_value", "away_value"], [raw for raw, _ in columns])
 
     def side(label: str) -> dict[str, str]:
-        return {"team_id": f"{label}_team_id", "team_name": f"{label}_team_name", "values": f"{label}_values"}
+        return {"team_id": f"{label}_team_id", "team_name": f"{label}_team_name", "values": f"{label}_value"}
 
     rows = side_union(slots.join(teams, "match_id"), ["match_id", "period"], side("home"), side("away"))
     return rows.select(
@@ -232,21 +223,25 @@ def fact_team_match(values: DataFrame, staged: DataFrame, columns: Sequence[tupl
     )
 
 
-def fact_season_team(team_match: DataFrame, staged: DataFrame) -> DataFrame:
+def fact_season_team(values: DataFrame, staged: DataFrame) -> DataFrame:
     """Season totals over matches that have full-match statistics; points by score.
 
-    ``season_team_key`` ignores the tournament, as its consumers expect;
+    ``values`` is the long silver table, of which only the ids of the folder of
+    period ALL are read.  ``season_team_key`` ignores the tournament, as its consumers expect;
     ``season_team_stage_key`` is unique for seasons played in several stages.
     """
-    whole = team_match.where(F.col("period") == "ALL").select("match_id", "team_id", "team_name")
-    scores = staged.select(
-        "match_id", "season_id", "season_name", "season_year", "tournament_id", "home_team_id",
-        "home_score_current", "away_score_current",
+    counted = values.where(F.col("period") == "ALL").select("match_id").distinct()
+    whole = staged.join(counted, "match_id", "left_semi")
+
+    def side(own: str, other: str) -> dict[str, str]:
+        return {
+            "team_id": f"{own}_team_id", "team_name": f"{own}_team_name",
+            "gf": f"{own}_score_current", "ga": f"{other}_score_current",
+        }
+
+    scored = side_union(
+        whole, ["season_id", "season_name", "season_year", "tournament_id"], side("home", "away"), side("away", "home")
     )
-    at_home = F.col("team_id") == F.col("home_team_id")
-    own = F.when(at_home, F.col("home_score_current")).otherwise(F.col("away_score_current"))
-    other = F.when(at_home, F.col("away_score_current")).otherwise(F.col("home_score_current"))
-    scored = whole.join(scores, "match_id").withColumns({"gf": own, "ga": other})
     points = F.when(F.col("gf") > F.col("ga"), 3).when(F.col("gf") == F.col("ga"), 1).otherwise(0)
     keys = ["season_id", "season_name", "season_year", "tournament_id", "team_id", "team_name"]
     totals = scored.groupBy(*keys).agg(
