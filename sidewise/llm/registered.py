@@ -6,6 +6,7 @@ import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sidewise.session import scratch_path
 
@@ -87,7 +88,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_secret_ledger")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, findings = secret_ledger.scan(table(spark, sf_dir, "documents"))
+    """All documents over the ledger of an earlier load, which held a part of them and knew the base rules only."""
+    docs = table(spark, sf_dir, "documents")
+    earlier = docs.where(F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+    ledger, _ = secret_ledger.scan(earlier, rules=secret_ledger.RULES)
+    _, findings = secret_ledger.scan(docs, ledger)
     return secret_ledger.report(findings)
 
 

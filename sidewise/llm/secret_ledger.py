@@ -7,8 +7,12 @@ that hold the blob.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +26,7 @@ class Rule:
     """``pattern`` finds spans; those whose ``group`` is shorter than ``least`` are dropped.
 
     ``folded`` matches against the text with A-Z lower-cased.  ``hints``: a text
-    without any of these strings can't match.
+    without any of these strings can't match.  ``passes`` decides on a match by more than its form.
     """
 
     kind: str
@@ -32,14 +36,45 @@ class Rule:
     least: int = 1
     folded: bool = False
     hints: tuple[str, ...] = field(default=())
+    passes: Callable[[re.Match], bool] | None = None
 
     def spans(self, text: str, folded: str) -> list[tuple[int, int]]:
         if self.folded:
             text = folded
         if self.hints and not any(hint in text for hint in self.hints):
             return []
-        group, least = self.group, self.least
-        return [m.span() for m in re.finditer(self.pattern, text) if m.end(group) - m.start(group) >= least]
+        group, least, passes = self.group, self.least, self.passes
+        found = (m for m in re.finditer(self.pattern, text) if m.end(group) - m.start(group) >= least)
+        return [m.span() for m in found if passes is None or passes(m)]
+
+
+# Digits of the checksum at the end of a token, its length.
+BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+CHECKSUM = 6
+#: Bits a character that a quoted string needs to count as random; plain words and numbers stay below.
+RANDOM_BITS = 4.0
+
+
+def base62(number: int) -> str:
+    digits = ""
+    for _ in range(CHECKSUM):
+        number, digit = divmod(number, len(BASE62))
+        digits = BASE62[digit] + digits
+    return digits
+
+
+def checksum_holds(m: re.Match) -> bool:
+    """Whether a token ends in the checksum of its random part."""
+    return base62(crc32(m[1].encode())) == m[2]
+
+
+def looks_random(m: re.Match) -> bool:
+    """Whether a quoted string mixes digits and both cases, with at least ``RANDOM_BITS`` of entropy a character."""
+    body = m[1]
+    if not all(re.search(kind, body) for kind in ("[0-9]", "[a-z]", "[A-Z]")):
+        return False
+    shares = [n / len(body) for n in Counter(body).values()]
+    return -sum(p * math.log2(p) for p in shares) >= RANDOM_BITS
 
 
 # Runs of "hex" and "access" are maximal, so asking for the length inside the pattern
@@ -53,6 +88,16 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]{32,}"),
 )
 
+# Found beside the base rules, whose spans they never change.
+ADDED = (
+    Rule(
+        "key_block", 1, r"-----BEGIN ((?:[A-Z0-9]+ )*)PRIVATE KEY-----[A-Za-z0-9+/=,:\s-]*?-----END \1PRIVATE KEY-----",
+        hints=("PRIVATE KEY-----",),
+    ),
+    Rule("checked", 1, r"gh[oprsu]_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])", hints=("gho_", "ghp_", "ghr_", "ghs_", "ghu_"), passes=checksum_holds),
+    Rule("random", 1, r"""["']([A-Za-z0-9+/_=-]{24,})["']""", hints=('"', "'"), passes=looks_random),
+)
+
 LEDGER = "blob binary, kind string, version int, spans array<struct<start:int,end:int>>"
 
 
@@ -81,7 +126,7 @@ def _scanner(rules: tuple[Rule, ...]):
     return scan_text
 
 
-def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
+def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES + ADDED) -> tuple[DataFrame, DataFrame]:
     """(ledger with the new entries, one row per version: doc_id, blob, findings).
 
     ``versions`` has ``doc_id`` (the path) and ``text``; a path may have any number of
@@ -112,10 +157,10 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     return ledger, paths.join(by_blob, "blob", "left").select("doc_id", "blob", "findings")
 
 
-def report(findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Counts per kind and the digest of the spans, by start and then by the order of the rules."""
+def report(findings: DataFrame, base: tuple[Rule, ...] = RULES, added: tuple[Rule, ...] = ADDED) -> DataFrame:
+    """Counts per base kind, the digest of the base spans and all spans, by start and then by the order of the rules."""
     c = F.col
-    order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
+    order = F.create_map(*[x for i, r in enumerate(base + added) for x in (F.lit(r.kind), F.lit(i))])
     listed = F.array_sort(
         F.flatten(
             F.transform(
@@ -126,10 +171,12 @@ def report(findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             )
         )
     )
-    text = F.array_join(F.transform("listed", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    rows = findings.select("doc_id", listed.alias("listed")).withColumn("spans", text)
+
+    def text(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     def count(kind: str) -> Column:
         return F.size(F.filter("listed", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
-    return rows.select("doc_id", *[count(r.kind) for r in rules], F.sha2("spans", 256).alias("base_sha256"), "spans")
+    rows = findings.select("doc_id", listed.alias("listed")).withColumn("base", F.filter("listed", lambda s: s["nth"] < len(base)))
+    return rows.select("doc_id", *[count(r.kind) for r in base], F.sha2(text("base"), 256).alias("base_sha256"), text("listed").alias("spans"))
