@@ -64,20 +64,25 @@ def agg_pivot(
 
 
 def pivot_listed(df: DataFrame, keys: Sequence[str], name: str, values: Sequence[str], listed: Sequence[str]) -> DataFrame:
-    """One row per ``keys`` with an array per value column: its maxima in the order of the ``listed`` metrics.
+    """One row per ``keys`` with an array per value column: its maxima by metric, in the order of ``sorted(set(listed))``.
 
-    For wide pivots: the built-in pivot makes metrics unique per key first, which
-    collapses repeats before the exchange, and puts each cell into its place
-    once, where conditional aggregates or a map are searched per column and row.
+    For wide pivots.  Cells move as narrow rows, once: by ``keys``, which also serves
+    the step that makes metrics unique.  The cells of a row and blank ones for the
+    metrics that it lacks are then sorted into place together, so no column
+    searches them.  A row without any listed metric stays.
     """
-    maxima = [F.max(v).alias(v) for v in values]
-    if not listed:
-        return df.select(*keys).distinct().select("*", *[F.array().alias(v) for v in values])
-    wide = df.groupBy(*keys).pivot(name, list(listed)).agg(*maxima)
-    # Its columns are metric by metric, each with all values; named by place, since metrics are free text.
-    wide = wide.toDF(*keys, *[f"_{v}_{n}" for n in range(len(listed)) for v in range(len(values))])
-    cells = [F.array(*[f"_{v}_{n}" for n in range(len(listed))]).alias(value) for v, value in enumerate(values)]
-    return wide.select(*keys, *cells)
+    cells = [F.max(v).alias(v) for v in values]
+    once = df.repartition(*keys).groupBy(*keys, name).agg(*cells)
+    cell = F.struct(F.col(name).alias("metric"), *values)
+    found = F.collect_list(F.when(F.col(name).isin(list(listed)), cell)).alias("found")
+    kind = once.select(cell.alias("cell")).schema["cell"].dataType
+    every = F.array(*[F.lit(raw) for raw in sorted(set(listed))]).cast("array<string>")
+    blank = F.transform(
+        F.array_except(every, F.transform("found", lambda c: c["metric"])),
+        lambda raw: F.struct(raw.alias("metric"), *[F.lit(None).alias(v) for v in values]).cast(kind),
+    )
+    placed = once.groupBy(*keys).agg(found).select(*keys, F.array_sort(F.concat("found", blank)).alias("placed"))
+    return placed.select(*keys, *[F.col("placed")[v].alias(v) for v in values])
 
 
 def with_columns_present(df: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:

@@ -65,12 +65,9 @@ def history_of(matches: DataFrame, fact_match: DataFrame) -> DataFrame:
     the windows of all other seasons are never touched.
     """
     teams = side_union(matches, ["season_id"], {"team_id": "home_team_id"}, {"team_id": "away_team_id"})
-    wanted = teams.select(*TEAM_SEASON).distinct()
-    out = fact_match
-    for side in ("home", "away"):
-        named = wanted.select(F.col("team_id").alias(f"{side}_team_id"), "season_id", F.lit(True).alias(f"_{side}"))
-        out = out.join(named, [f"{side}_team_id", "season_id"], "left")
-    return out.where(F.col("_home") | F.col("_away")).select(*fact_match.columns)
+    wanted = teams.select("team_id", F.col("season_id").alias("_season")).distinct()
+    plays = (F.col("team_id") == F.col("home_team_id")) | (F.col("team_id") == F.col("away_team_id"))
+    return fact_match.join(wanted, (F.col("season_id") == F.col("_season")) & plays, "left_semi")
 
 
 # Feature of the scored match: output name without side, source in the two feature tables.

@@ -210,7 +210,9 @@ def fact_team_match(values: DataFrame, staged: DataFrame, columns: Sequence[tupl
     shuffled and joined as when the sides are split before the pivot.
     """
     teams = staged.select("match_id", "home_team_id", "home_team_name", "away_team_id", "away_team_name")
-    slots = pivot_listed(values, ["match_id", "period"], "metric", ["home_value", "away_value"], [raw for raw, _ in columns])
+    raw_keys = [raw for raw, _ in columns]
+    slots = pivot_listed(values, ["match_id", "period"], "metric", ["home_value", "away_value"], raw_keys)
+    place = {raw: n for n, raw in enumerate(sorted(set(raw_keys)))}
 
     def side(label: str) -> dict[str, str]:
         return {"team_id": f"{label}_team_id", "team_name": f"{label}_team_name", "values": f"{label}_value"}
@@ -219,7 +221,7 @@ def fact_team_match(values: DataFrame, staged: DataFrame, columns: Sequence[tupl
     return rows.select(
         surrogate_key("match_id", "team_id", "period").alias("match_team_period_key"),
         "match_id", "team_id", "team_name", "period",
-        *[F.get("values", F.lit(n)).alias(name) for n, (_, name) in enumerate(columns)],
+        *[F.get("values", F.lit(place[raw])).alias(name) for raw, name in columns],
     )
 
 
