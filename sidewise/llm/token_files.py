@@ -37,7 +37,7 @@ END_ID = 1
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST = "part int, ids_file string, index_file string, n_docs bigint, n_tokens bigint"
 #: Distinct blank-free pieces whose ids a worker remembers, and the longest one it remembers.
-REMEMBERED, LONGEST = 800_000, 32
+REMEMBERED, LONGEST = 200_000, 32
 
 
 #: Word ends, while words are merged as ranked bytes; no text that holds it takes that way.
