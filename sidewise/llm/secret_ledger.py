@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,7 +65,7 @@ def base62(number: int) -> str:
 
 def checksum_holds(m: re.Match) -> bool:
     """Whether a token ends in the checksum of its random part."""
-    return base62(crc32(m[1].encode())) == m[2]
+    return base62(zlib.crc32(m[1].encode())) == m[2]
 
 
 def looks_random(m: re.Match) -> bool:
@@ -105,6 +105,12 @@ def empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER)
 
 
+@on_arrow(pa.binary())
+def packed(text: pa.Array) -> pa.Array:
+    """Texts deflated one by one, for a shuffle."""
+    return pa.array([zlib.compress(content.encode()) for content in text.to_pylist()], pa.binary())
+
+
 def _scanner(rules: tuple[Rule, ...]):
     by_kind = {rule.kind: rule for rule in rules}
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
@@ -113,7 +119,8 @@ def _scanner(rules: tuple[Rule, ...]):
     @on_arrow(kind)
     def scan_text(text: pa.Array, kinds: pa.Array) -> pa.Array:
         out = []
-        for content, wanted in zip(text.to_pylist(), kinds.to_pylist()):
+        for deflated, wanted in zip(text.to_pylist(), kinds.to_pylist()):
+            content = zlib.decompress(deflated).decode()
             folded = content.encode().lower().decode()  # A-Z only, so offsets stay
             out.append(
                 [
@@ -145,7 +152,7 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     unseen = pairs.join(ledger, ["blob", "kind", "version"], "left_anti")
     unseen = unseen.groupBy("blob", "speaker").agg(F.sort_array(F.collect_list("kind")).alias("kinds"))
     wanted = unseen.select(c("blob").alias("w_blob"), "speaker", "kinds").hint("shuffle_hash")
-    content = rows.join(wanted, (c("blob") == c("w_blob")) & same(c("doc_id"), c("speaker")))
+    content = rows.select("doc_id", "blob", packed(c("text")).alias("text")).join(wanted, (c("blob") == c("w_blob")) & same(c("doc_id"), c("speaker")))
     scanned = content.select("blob", F.explode(_scanner(rules)("text", "kinds")).alias("found")).select("blob", "found.*")
     # A path may repeat the blob it speaks for.
     fresh = stored(scanned.dropDuplicates(["blob", "kind", "version"]), "ledger")
