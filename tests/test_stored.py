@@ -56,6 +56,12 @@ def test_statistics_count_both_halves_and_the_whole(data):
     assert expected.count() == data.stats.select("match_id", "period").distinct().count()
 
 
+def test_line_items_are_sorted_before_they_turn_into_cells(data):
+    build = next(c.cell_contents for c in Inputs.stat_cells.fget.__closure__ if getattr(c.cell_contents, "__name__", "") == "stat_cells")
+    plan = plan_of(build(data))
+    assert "Sort [match_id" in plan[plan.index("Generate"):] and "array_compact" not in plan and "filter(" not in plan
+
+
 def test_documents_with_and_without_repeats(spark):
     text = '{"statistics":[{"period":"ALL","groups":[{"groupName":"g","statisticsItems":[{"name":"n","key":"%s"}]}]}]}'
     raw = spark.createDataFrame([(1, text % "a"), (2, text % "a"), (2, text % "b"), (None, text % "a")], "match_id bigint, data string")
