@@ -27,6 +27,35 @@ def test_several_frames_share_the_buckets(spark):
     assert moves(counted) == 0 and table.count() == 100 and sum(r.n for r in counted.collect()) == 100
 
 
+def test_rows_in_order_are_written_without_a_sort(spark):
+    # More buckets than cores: each is written by a task of its own.
+    source = spark.table(write_bucketed(spark.range(400).withColumnRenamed("id", "k"), scratch_path(spark, "order-source"), "k", 20))
+    wide = source.select("k", F.explode(F.array(F.lit(2), F.lit(1))).alias("n"))
+    name = write_bucketed(wide, scratch_path(spark, "in-order"), "k", 20, in_order=True)
+    described = {r.col_name: r.data_type for r in spark.sql(f"describe formatted {name}").collect()}
+    assert described["Sort Columns"] == "[]" and described["Num Buckets"] == "20"
+    files = spark.table(name).select(F.col("_metadata.file_path").alias("file"), "k", "n").collect()
+    assert len(files) == 800 and len({r.file for r in files}) == 20 and len({r.file.split("part-")[1][:5] for r in files}) == 20
+    for file in {r.file for r in files}:
+        keys = [r.k for r in files if r.file == file]
+        assert keys == sorted(keys)
+    assert moves(spark.table(name).groupBy("k").count()) == 0
+
+
+def test_matches_filed_under_their_id_are_not_moved(data, spark):
+    variants = data.match_variants
+    own, others = bronze.full_matches_kinds(variants)
+    assert moves(own.repartition(data.buckets, "match_id")) == 0 and others.isEmpty()
+    # Documents under a wrong id or none keep their own.
+    wrong = variants.withColumn("match_id", F.when(F.col("match_id") % 2 == 0, F.col("match_id")).when(F.col("match_id") % 3 == 0, -F.col("match_id")))
+    own, others = bronze.full_matches_kinds(wrong)
+    expected = bronze.full_matches_data(variants)
+    assert not own.isEmpty() and not others.isEmpty() and own.schema == expected.schema
+    both = own.unionByName(others)
+    assert both.exceptAll(expected).isEmpty() and both.count() == expected.count()
+    assert data.full_matches.exceptAll(expected).isEmpty() and data.full_matches.count() == expected.count()
+
+
 def test_settings_hold_inside_the_block_only(spark):
     key, unset = "spark.sql.shuffle.partitions", "spark.sql.execution.useObjectHashAggregateExec"
     before = spark.conf.get(key)
