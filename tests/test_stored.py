@@ -4,7 +4,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from registry.inputs import Inputs
+from registry.inputs import _WRITTEN, Inputs
 from sidewise.operators import documents as D
 from sidewise.operators import filters, joins
 from sidewise.plans import bronze, silver
@@ -106,3 +106,23 @@ def test_existence_tests_join_distinct_ids(spark):
     assert plan_of(kept).count("Join") == 1 and "HashAggregate" in plan_of(missing)
     assert sorted(r.match_id for r in kept.collect()) == [1, 3]
     assert sorted(r.match_id for r in missing.collect()) == [2, 3]
+
+
+def test_statistics_are_stored_without_what_follows_from_them(data, spark):
+    read = {name: getattr(data, name) for name in ("stats_documents", "full_stats")}
+    stored = {name: spark.table(_WRITTEN[spark.sparkContext.applicationId, data.sf_dir, name]) for name in read}
+    assert stored["stats_documents"].columns == ["match_id", "statistics"]
+    derived = {"advantage", "home_percentage", "away_percentage", "value_difference", "has_numeric_values", "is_complete_statistic"}
+    assert not derived & set(stored["full_stats"].columns) and derived < set(read["full_stats"].columns)
+    # The ids are counted without forming a text, and the rows are those of the documents.
+    ids = read["stats_documents"].where("data is not null").groupBy("match_id").count()
+    assert moves(ids) == 0 and "statistics" not in plan_of(ids).replace("stats_documents", "")
+    expected = bronze.full_stats_data(read["stats_documents"], data.full_matches)
+    assert read["full_stats"].dtypes == expected.dtypes and expected.exceptAll(read["full_stats"]).isEmpty()
+    assert expected.count() == read["full_stats"].count() == data.stat_cells.count()
+
+
+def test_documents_are_in_either_envelope(data):
+    text = data.stats_documents.select("match_id", "data").collect()
+    assert all(r.data.startswith(f'{{"match_id":{r.match_id},"statistics":{{"statistics":[' if r.match_id % 2 == 0 else '{"statistics":[{"period":') for r in text)
+    assert len(text) == data.stat_cells.select("match_id").distinct().count()
