@@ -82,7 +82,9 @@ def by_season(staged: DataFrame) -> DataFrame:
 def missing_stats(matches: DataFrame, stats: DataFrame) -> DataFrame:
     """Matches without statistics; ``should_have`` tells the finished ones."""
     finished = F.lower("status_type").isin(FINISHED_WORDS)
-    return matches.join(stats.select("match_id"), "match_id", "left_anti").select(
+    # A stored id column looks small enough to broadcast while it has a hundred rows a match: those would go through the driver.
+    ids = stats.select("match_id").distinct().hint("shuffle_hash")
+    return matches.join(ids, "match_id", "left_anti").select(
         "match_id", "start_timestamp", "status_type", "status_description", "home_team_name",
         "away_team_name", "home_score_current", "away_score_current",
         F.coalesce(finished, F.lit(False)).alias("should_have"),

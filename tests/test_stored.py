@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from registry.inputs import _WRITTEN, Inputs
 from sidewise.operators import documents as D
-from sidewise.operators import filters, joins
+from sidewise.operators import filters, joins, reports
 from sidewise.plans import bronze, silver
 from sidewise.session import scratch_path, set_conf, write_bucketed
 
@@ -126,3 +126,14 @@ def test_documents_are_in_either_envelope(data):
     text = data.stats_documents.select("match_id", "data").collect()
     assert all(r.data.startswith(f'{{"match_id":{r.match_id},"statistics":{{"statistics":[' if r.match_id % 2 == 0 else '{"statistics":[{"period":') for r in text)
     assert len(text) == data.stat_cells.select("match_id").distinct().count()
+
+
+def test_statistics_are_not_sent_to_the_driver_to_find_matches_without(spark):
+    matches = spark.createDataFrame(
+        [(1, "finished"), (2, "finished"), (3, None), (None, "open")], "match_id bigint, status_type string"
+    ).select("match_id", "status_type", *[F.lit(None).cast("string").alias(c) for c in (
+        "start_timestamp", "status_description", "home_team_name", "away_team_name", "home_score_current", "away_score_current")])
+    stats = spark.createDataFrame([(1,)] * 50 + [(None,)], "match_id bigint")
+    found = reports.missing_stats(matches, stats)
+    assert "Broadcast" not in plan_of(found) and "HashAggregate" in plan_of(found)
+    assert sorted((str(r.match_id), r.should_have) for r in found.collect()) == [("2", True), ("3", False), ("None", False)]
