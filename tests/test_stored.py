@@ -5,6 +5,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from registry.inputs import _WRITTEN, Inputs
+from sidewise import schemas
 from sidewise.operators import documents as D
 from sidewise.operators import filters, joins, reports
 from sidewise.plans import bronze, silver
@@ -137,3 +138,62 @@ def test_statistics_are_not_sent_to_the_driver_to_find_matches_without(spark):
     found = reports.missing_stats(matches, stats)
     assert "Broadcast" not in plan_of(found) and "HashAggregate" in plan_of(found)
     assert sorted((str(r.match_id), r.should_have) for r in found.collect()) == [("2", True), ("3", False), ("None", False)]
+
+
+@pytest.fixture
+def unstored(spark, tmp_path):
+    """The same tables under another path, so that no relation of them is stored yet."""
+    (tmp_path / "data").symlink_to("/root/testdata/sf0.001")
+    return Inputs(spark, str(tmp_path / "data"))
+
+
+def same_rows(a, b) -> bool:
+    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_staging_asks_for_the_statistics_of_matches_in_doubt_only(unstored):
+    staged = unstored.staged
+    assert not unstored.is_written("full_stats") and not unstored.is_written("stats_documents")
+    wanted = filters.in_doubt(unstored.full_matches)
+    few = unstored.statistics_of(wanted)
+    assert not few.isEmpty() and "collect_list" in plan_of(few)
+    # From the documents and from the stored statistics it is the same.
+    unstored.stats_documents
+    from_documents = unstored.statistics_of(wanted)
+    assert same_rows(few, from_documents) and "stats_documents" in plan_of(from_documents)
+    assert same_rows(few, joins.found_in(unstored.full_stats, wanted, ["match_id"]).select(*few.columns))
+    assert same_rows(staged, silver.staging_matches(unstored.full_matches, unstored.full_stats))
+    gone = unstored.full_matches.join(staged, "match_id", "left_anti")
+    assert not gone.where("status_description = 'Removed'").isEmpty() or staged.where("status_description = 'Removed'").count() > 0
+
+
+def test_long_silver_table_needs_no_stored_statistics(unstored):
+    values = unstored.side_values
+    assert not unstored.is_written("full_stats") and not unstored.is_written("stats_documents")
+    expected = silver.side_values(unstored.full_stats)
+    assert same_rows(values.select(*expected.columns), expected) and moves(values.groupBy("match_id").count()) == 0
+
+
+def test_several_documents_of_a_match_reach_the_long_silver_table(spark):
+    text = '{"statistics":[{"period":"ALL","groups":[{"groupName":"g","statisticsItems":[{"name":"n","key":"%s","homeValue":1,"awayValue":2}]}]}]}'
+    raw = spark.createDataFrame([(1, 5, text % "a"), (2, 5, text % "a"), (2, 5, text % "b")], "match_id bigint, tournament_id int, data string")
+    matches = spark.createDataFrame([(1, 1999), (2, 1999)], "match_id bigint, season_id int")
+    kinds = bronze.full_stats_kinds(raw, matches)
+    assert [r.match_id for r in D.several_documents(raw).collect()] == [2]
+    table = spark.table(silver.write_side_values(kinds[0], scratch_path(spark, "two-kinds"), 3, kinds[1:]))
+    assert sorted((r.match_id, r.metric) for r in table.collect()) == [(1, "a"), (2, "a"), (2, "b")]
+
+
+def test_bare_documents_are_parsed_as_such_first(spark):
+    lists = '[{"period":"ALL","groups":[{"groupName":"g","statisticsItems":[{"name":"n","key":"k","homeValue":1.50}]}]}]'
+    texts = [
+        f'{{"statistics":{lists}}}', f'{{"match_id":4,"statistics":{{"statistics":{lists}}}}}', f' {{ "statistics" : {lists} , "x":1}}', f'{{"x":1,"statistics":{lists}}}',
+        '{"statistics":[]}', '{"statistics":null}', "{}", "", "no json", f'{{"statistics":{lists}', f'{{"statistics":{lists},"statistics":{{"statistics":[]}}}}',
+        f'{{"statistics":[],"statistics":{lists}}}', '{"statistics":[7]}', '{"statistics":["x",{"period":"ALL"}]}', '{"statistics":[{"period":{"a":1},"groups":7}]}', None,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "n int, data string")
+    wrapped = F.from_json("data", schemas.STATS_WRAPPED)["statistics"]["statistics"]
+    bare = F.from_json("data", schemas.STATS_BARE)["statistics"]
+    rows = docs.select("n", F.to_json(D.stat_periods(F.col("data"))).alias("new"), F.to_json(F.coalesce(wrapped, bare)).alias("old")).collect()
+    assert [(r.n, r.new) for r in rows] == [(r.n, r.old) for r in rows] and sum(r.new is not None for r in rows) > 5
+    assert schemas.UNFIT in plan_of(docs.select(D.stat_periods(F.col("data")).alias("p")))
